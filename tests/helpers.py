@@ -1,0 +1,18 @@
+"""Small helpers for reading results in tests."""
+
+
+def rows(frame, *columns):
+    """Rows as sorted tuples of the named (or all) columns."""
+    names = columns or frame.columns
+    picked = frame.select(*(f"`{name}`" for name in names))
+    return sorted((tuple(row) for row in picked.collect()), key=repr)
+
+
+def values(frame):
+    """The single column of a frame, in order."""
+    return [row[0] for row in frame.collect()]
+
+
+def plan(frame):
+    """The physical plan as text."""
+    return frame._jdf.queryExecution().executedPlan().toString()
