@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import col
 from tidemark.functions.typing import blank_to_null
+from tidemark.sources.tables import path_exists
 
 # Column that keeps the order of rows in their file, where a tie-break needs it.
 FILE_ORDER = "_file_order"
@@ -112,12 +112,10 @@ def source_headers(
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Path, change time and length of matching files. File contents are not read."""
-    try:
+    if path_exists(spark, folder):
         found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        found = spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    else:
+        found = spark.createDataFrame([], "path string, modificationTime timestamp, length long")
     return found.select("path", F.col("modificationTime").alias("modified"), "length")
 
 

@@ -12,7 +12,6 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +25,12 @@ class PartialLoadError(RuntimeError):
     """Fewer or more rows landed than were prepared."""
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of the file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A catalog table or view by name, or a parquet path; only ``columns`` are read."""
     frame = spark.read.parquet(name) if "/" in name else spark.table(name)
@@ -109,12 +114,9 @@ class Table:
         self.path = path.rstrip("/")
 
     def _last_commit(self):
-        try:
-            log = self.spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.path}/commits"):
             return None
+        log = self.spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.path}/commits")
         rows = log.orderBy(F.col("version").desc()).limit(1).collect()
         return rows[0] if rows else None
 
