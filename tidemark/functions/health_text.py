@@ -89,12 +89,17 @@ def qualified_object(raw: Column, database: Column, schema: Column) -> Column:
         lambda part: part != "",
     )
     home = F.array(database, F.coalesce(schema, F.lit("dbo")))
-    full = F.when(F.size(parts) == 1, F.concat(home, parts)).otherwise(F.concat(F.array(database), parts))
-    last = F.slice(full, -3, 3)
-    named = F.array_join(
-        F.transform(last, lambda part: F.concat(F.lit("["), F.replace(part, F.lit("]"), F.lit("]]")), F.lit("]"))), "."
-    )
-    return F.when(F.size(parts) == 0, raw).otherwise(named)
+
+    def named(found: Column) -> Column:
+        full = F.when(F.size(found) == 1, F.concat(home, found)).otherwise(F.concat(F.array(database), found))
+        quoted = F.transform(
+            F.slice(full, -3, 3),
+            lambda part: F.concat(F.lit("["), F.replace(part, F.lit("]"), F.lit("]]")), F.lit("]")),
+        )
+        return F.when(F.size(found) == 0, raw).otherwise(F.array_join(quoted, "."))
+
+    # The one-element array lets the parts be split once and used by name.
+    return F.element_at(F.transform(F.array(parts), named), 1)
 
 
 def connection_label(server: Column, labels: Mapping[str, str]) -> Column:

@@ -4,8 +4,9 @@ Every function takes the production frame and the staging frame and returns the
 production frame; nothing is written here. Staging is a window of changes and production is
 the long history, so no plan shuffles production when staging is small: production meets
 staging through semi, anti and left joins with production on the streamed side, and Spark
-broadcasts the staging keys when their measured size allows it. When it does not, both sides
-are shuffled on the key, and a hot header is split by the adaptive skew join.
+broadcasts the staging keys when their size allows it: by its own estimate, or because the
+number of staged rows was counted when they were written (:data:`SMALL_ROWS`). Beyond that both
+sides are shuffled on the key, and a hot header is split by the adaptive skew join.
 
 Keys match NULL to NULL. The exact bodies of the promotion jobs are not published; the
 strategies follow their written definitions.
@@ -34,6 +35,10 @@ STRATEGIES = (
 
 NEW, PERSISTING, RESOLVED = "New", "Persisting", "Resolved"
 
+# Staging tables of at most this many counted rows have their keys broadcast (some 200 MB at
+# 100 bytes a key), which spares a shuffle of the whole production table.
+SMALL_ROWS = 2_000_000
+
 
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of the key columns of two aliased frames."""
@@ -46,19 +51,21 @@ def _check_columns(prod: DataFrame, stg: DataFrame) -> None:
         raise ValueError(f"Staging columns do not exist in the production table: {unknown}")
 
 
-def distinct_keys(stg: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key; rows of a hot key merge before they are shuffled."""
-    return stg.select(*as_columns(keys)).distinct()
+def distinct_keys(stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """One row per key; rows of a hot key merge before they are shuffled. ``rows`` is the counted
+    size of ``stg``; without it the engine judges whether the keys are small."""
+    distinct = stg.select(*as_columns(keys)).distinct()
+    return F.broadcast(distinct) if rows is not None and rows <= SMALL_ROWS else distinct
 
 
-def matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+def matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
     """Production rows whose key is in staging."""
-    return prod.alias("p").join(distinct_keys(stg, keys).alias("s"), same_key("p", "s", keys), "left_semi")
+    return prod.alias("p").join(distinct_keys(stg, keys, rows).alias("s"), same_key("p", "s", keys), "left_semi")
 
 
-def not_matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+def not_matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
     """Production rows whose key is not in staging."""
-    return prod.alias("p").join(distinct_keys(stg, keys).alias("s"), same_key("p", "s", keys), "left_anti")
+    return prod.alias("p").join(distinct_keys(stg, keys, rows).alias("s"), same_key("p", "s", keys), "left_anti")
 
 
 def truncate_insert(prod: DataFrame | None, stg: DataFrame) -> DataFrame:
@@ -66,7 +73,9 @@ def truncate_insert(prod: DataFrame | None, stg: DataFrame) -> DataFrame:
     return stg
 
 
-def delete_insert(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_insert(
+    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], rows: int | None = None
+) -> DataFrame:
     """Delete the production rows that match staging on ``keys``, then insert all of staging.
 
     With the primary key this replaces rows, with a header key whole headers (lines that left
@@ -75,32 +84,32 @@ def delete_insert(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str]) -
     if prod is None:
         return stg
     _check_columns(prod, stg)
-    kept = not_matching(prod, stg, keys)
+    kept = not_matching(prod, stg, keys, rows)
     return kept.unionByName(stg, allowMissingColumns=True).select(*as_columns(prod.columns))
 
 
 def versioned_delete_insert(
-    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], stamps: Sequence[str]
+    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], stamps: Sequence[str], rows: int | None = None
 ) -> DataFrame:
     """:func:`delete_insert` on the key and the version stamps."""
-    return delete_insert(prod, stg, [*keys, *stamps])
+    return delete_insert(prod, stg, [*keys, *stamps], rows)
 
 
-def merge(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
     """Upsert: matched rows take the staging values and keep the columns staging lacks."""
     if prod is None:
         return stg
     _check_columns(prod, stg)
     own = [name for name in prod.columns if name not in stg.columns]
     if not own:
-        return delete_insert(prod, stg, keys)
-    carried = matching(prod.select(*as_columns([*keys, *own])), stg, keys)
+        return delete_insert(prod, stg, keys, rows)
+    carried = matching(prod.select(*as_columns([*keys, *own])), stg, keys, rows)
     upserted = (
         stg.alias("s")
         .join(carried.alias("c"), same_key("s", "c", keys), "left")
         .select(*(col(name, "c" if name in own else "s").alias(name) for name in prod.columns))
     )
-    return not_matching(prod, stg, keys).unionByName(upserted)
+    return not_matching(prod, stg, keys, rows).unionByName(upserted)
 
 
 def filter_active(prod: DataFrame | None, stg: DataFrame, where: Sequence[str]) -> DataFrame:
@@ -134,6 +143,7 @@ def lifecycle_merge(
     now: Column,
     status: str = "ErrorStatus",
     stamp: str = "LastUpdate",
+    rows: int | None = None,
 ) -> DataFrame:
     """Stamp keys New, Persisting or Resolved; nothing is deleted.
 
@@ -157,7 +167,7 @@ def lifecycle_merge(
             return F.when(still_open, col(name, "s")).otherwise(col(name, "p")).alias(name)
         return col(name, "p")
 
-    seen = matching(prod.select(*as_columns(keys)), stg, keys)
+    seen = matching(prod.select(*as_columns(keys)), stg, keys, rows)
     fresh = not_matching(stg, seen, keys)
     fresh = fresh.select(*as_columns(stg.columns), F.lit(NEW).alias(status), now.alias(stamp))
     return joined.select(*(value(name) for name in prod.columns)).unionByName(fresh, allowMissingColumns=True)
@@ -192,8 +202,9 @@ def promote(
     header_key: Sequence[str] = (),
     stamps: Sequence[str] = ("create stamp", "update stamp"),
     where: Sequence[str] = (),
+    rows: int | None = None,
 ) -> DataFrame:
-    """The next production frame under a strategy by name."""
+    """The next production frame under a strategy by name; ``rows`` is the counted staging size."""
     if strategy == "truncate_insert":
         return truncate_insert(prod, stg)
     if strategy == "filter_active":
@@ -201,15 +212,15 @@ def promote(
     if not keys:
         raise ValueError(f"{strategy} needs key columns.")
     if strategy == "pk_merge":
-        return merge(prod, stg, keys)
+        return merge(prod, stg, keys, rows)
     if strategy == "pk_delete_insert":
-        return delete_insert(prod, stg, keys)
+        return delete_insert(prod, stg, keys, rows)
     if strategy == "pk_delete_insert_on_header":
         if not header_key or [*keys][: len(header_key)] != [*header_key]:
             raise ValueError(f"header_key {list(header_key)} must be a prefix of the key {list(keys)}.")
-        return delete_insert(prod, stg, header_key)
+        return delete_insert(prod, stg, header_key, rows)
     if strategy == "versioned_delete_insert":
-        return versioned_delete_insert(prod, stg, keys, stamps)
+        return versioned_delete_insert(prod, stg, keys, stamps, rows)
     raise ValueError(f"prd_load strategy must be one of {', '.join(sorted(STRATEGIES))}; got {strategy!r}.")
 
 

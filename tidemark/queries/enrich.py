@@ -208,7 +208,8 @@ def classify_error(spark, sf_dir):
         .when(kind == "purchase", "Partial staging load: stopped")
         .when(kind == "view", F.concat(F.lit("timeout "), "props"))
     )
-    return table(spark, sf_dir, "events").select("event_id", health_text.classify_error(message).alias("code"))
+    failures = table(spark, sf_dir, "events").select("event_id", message.alias("message"))
+    return failures.select("event_id", health_text.classify_error(F.col("message")).alias("code"))
 
 
 @query(

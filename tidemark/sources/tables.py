@@ -132,8 +132,9 @@ class Table:
         return frame.select(*as_columns(columns)) if columns else frame
 
     def count(self) -> int:
-        frame = self.read()
-        return 0 if frame is None else frame.count()
+        """Rows of the committed state, as counted when it was written."""
+        last = self._last_commit()
+        return 0 if last is None else last.rows
 
     def staged_frame(self, staged: Staged) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{staged.folder}")
