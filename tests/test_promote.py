@@ -1,0 +1,166 @@
+"""Promotion strategies, and the properties they must keep."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import plan, rows, values
+from tidemark.operators import promote as pr
+
+SCHEMA = "h string, n int, q double, s date"
+D1, D2, D3 = dt.date(2026, 1, 1), dt.date(2026, 1, 2), dt.date(2026, 1, 3)
+
+
+@pytest.fixture
+def prod(spark):
+    return spark.createDataFrame(
+        [("A", 1, 1.0, D1), ("A", 2, 2.0, D1), ("B", 1, 3.0, D1), ("C", None, 4.0, D1)], SCHEMA
+    )
+
+
+@pytest.fixture
+def stg(spark):
+    return spark.createDataFrame([("A", 1, 9.0, D2), ("B", 1, 3.0, D1), ("D", 1, 5.0, D2), ("C", None, 6.0, D2)], SCHEMA)
+
+
+KEY = ["h", "n"]
+
+
+def test_first_load_is_staging(stg):
+    for strategy in pr.STRATEGIES:
+        got = pr.promote(None, stg, strategy, keys=KEY, header_key=["h"], stamps=["s"])
+        assert rows(got) == rows(stg)
+
+
+def test_delete_insert_matches_null_keys_and_is_idempotent(prod, stg):
+    once = pr.promote(prod, stg, "pk_delete_insert", keys=KEY)
+    assert rows(once) == sorted(rows(stg) + [("A", 2, 2.0, D1)], key=repr)
+    assert rows(pr.promote(once, stg, "pk_delete_insert", keys=KEY)) == rows(once)
+
+
+def test_counted_small_staging_gives_the_same_rows(prod, stg):
+    for strategy in ("pk_merge", "pk_delete_insert", "pk_delete_insert_on_header", "versioned_delete_insert"):
+        options = dict(keys=KEY, header_key=["h"], stamps=["s"])
+        assert rows(pr.promote(prod, stg, strategy, rows=4, **options)) == rows(pr.promote(prod, stg, strategy, **options))
+
+
+def test_header_replaces_whole_headers_and_leaves_others(prod, stg):
+    got = rows(pr.promote(prod, stg.where("h = 'A'"), "pk_delete_insert_on_header", keys=KEY, header_key=["h"]))
+    assert ("A", 2, 2.0, D1) not in got
+    assert [r for r in got if r[0] != "A"] == [r for r in rows(prod) if r[0] != "A"]
+
+
+def test_header_must_be_a_prefix_of_the_key(prod, stg):
+    with pytest.raises(ValueError, match="prefix"):
+        pr.promote(prod, stg, "pk_delete_insert_on_header", keys=KEY, header_key=["n"])
+
+
+def test_versions_never_lose_history(prod, stg):
+    got = rows(pr.promote(prod, stg, "versioned_delete_insert", keys=KEY, stamps=["s"]))
+    assert set(rows(prod)) | set(rows(stg)) == set(got)
+    assert len(got) == 7  # B is unchanged: carried forward once
+
+
+def test_merge_keeps_columns_staging_lacks(prod, stg):
+    got = pr.merge(prod.withColumn("own", F.lit("kept")), stg, KEY)
+    assert rows(got) == sorted(
+        [
+            ("A", 1, 9.0, D2, "kept"), ("A", 2, 2.0, D1, "kept"), ("B", 1, 3.0, D1, "kept"),
+            ("C", None, 6.0, D2, "kept"), ("D", 1, 5.0, D2, None),
+        ],
+        key=repr,
+    )
+
+
+def test_each_staging_key_is_present_once(prod, stg):
+    for strategy in ("pk_merge", "pk_delete_insert", "pk_delete_insert_on_header"):
+        got = pr.promote(prod, stg, strategy, keys=KEY, header_key=["h"])
+        counts = rows(pr.matching(got, stg, KEY).groupBy(*KEY).count(), "count")
+        assert counts == [(1,)] * 4
+
+
+def test_unknown_staging_column_fails(prod, stg):
+    with pytest.raises(ValueError, match="do not exist"):
+        pr.promote(prod, stg.withColumn("zz", F.lit(1)), "pk_delete_insert", keys=KEY)
+
+
+def test_strategy_checks(prod, stg):
+    with pytest.raises(ValueError, match="must be one of"):
+        pr.promote(prod, stg, "upsert", keys=KEY)
+    with pytest.raises(ValueError, match="key columns"):
+        pr.promote(prod, stg, "pk_merge")
+
+
+def test_filter_active_drops_null_predicates(prod, stg):
+    got = pr.promote(prod, stg, "filter_active", where=["n = 1", "q > 4"])
+    assert rows(got, "h") == [("A",), ("D",)]
+    assert rows(pr.promote(prod, stg, "filter_active", where=[])) == rows(stg)
+
+
+def test_guarded_merge(spark):
+    prod = spark.createDataFrame([("a", 1, "old", "x"), ("b", 1, "old", "x"), ("c", 1, "old", "x")], "k string, n int, `PO` string, other string")
+    feed = spark.createDataFrame(
+        [("a", 1, "new", D2, D1), ("b", 1, "new", D1, D1), ("z", 9, "new", D2, D1), ("c", 1, "new", None, D1)],
+        "k string, n int, `PO` string, `PO.update stamp` date, `Requisition.update stamp` date",
+    )
+    got = pr.guarded_merge(prod, feed, ["k", "n"], ["PO"], "s.`PO.update stamp` > s.`Requisition.update stamp`")
+    assert rows(got) == [("a", 1, "new", "x"), ("b", 1, "old", "x"), ("c", 1, "old", "x")]
+
+
+def test_lifecycle_and_snapshot(spark):
+    first = spark.createDataFrame([(1, "m1"), (2, "m2")], "k int, msg string")
+    second = spark.createDataFrame([(2, "m2b"), (3, "m3")], "k int, msg string")
+    day1, day2 = (F.lit(day).cast("timestamp_ntz") for day in ("2026-01-01", "2026-01-02"))
+    prod = pr.lifecycle_merge(None, first, ["k"], day1)
+    assert rows(prod, "k", "ErrorStatus") == [(1, "New"), (2, "New")]
+    prod = pr.lifecycle_merge(prod, second, ["k"], day2)
+    assert rows(prod, "k", "msg", "ErrorStatus") == [(1, "m1", "Resolved"), (2, "m2b", "Persisting"), (3, "m3", "New")]
+    stats = pr.status_snapshot(None, prod, F.lit(D2), groups=["ErrorStatus"])
+    again = pr.status_snapshot(stats, prod, F.lit(D2), groups=["ErrorStatus"])
+    assert rows(again) == rows(stats)
+    later = pr.status_snapshot(stats, prod, F.lit(D3), groups=["ErrorStatus"])
+    assert rows(later) == rows(stats)  # nothing is stamped on or after the 3rd
+
+
+def test_rewrite_touches_only_the_partitions_of_staging(spark, tmp_path):
+    path = str(tmp_path / "t")
+    history = spark.createDataFrame([("A", 1, 1.0), ("A", 2, 2.0), ("B", 1, 3.0)], "h string, n int, q double")
+    history.write.partitionBy("h").parquet(path)
+    before = {file: file.stat().st_mtime_ns for file in (tmp_path / "t" / "h=B").glob("*.parquet")}
+    stg = spark.createDataFrame([("A", 1, 7.0), ("C", 1, 8.0)], "h string, n int, q double")
+    pr.rewrite_partitions(path, stg, ["h"], lambda prod: pr.promote(prod, stg, "pk_delete_insert", keys=KEY))
+    got = spark.read.parquet(path).select("h", "n", "q")
+    assert rows(got) == [("A", 1, 7.0), ("A", 2, 2.0), ("B", 1, 3.0), ("C", 1, 8.0)]
+    assert before == {file: file.stat().st_mtime_ns for file in (tmp_path / "t" / "h=B").glob("*.parquet")}
+
+
+def test_partitioning_must_be_part_of_the_key():
+    pr.check_partitioning("pk_delete_insert", ["h"], KEY, [])
+    with pytest.raises(ValueError):
+        pr.check_partitioning("pk_delete_insert_on_header", ["n"], KEY, ["h"])
+    with pytest.raises(ValueError):
+        pr.check_partitioning("truncate_insert", ["h"], KEY, [])
+
+
+def test_small_staging_does_not_shuffle_production(spark, tmp_path):
+    path = str(tmp_path / "prod")
+    spark.range(1000).selectExpr("string(id) h", "int(id) n", "double(id) q", "current_date() s").write.parquet(path)
+    prod = spark.read.parquet(path)
+    stg = prod.where("n < 10")
+    text = plan(pr.promote(prod, stg, "pk_delete_insert", keys=KEY, rows=10))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "Cartesian" not in text
+    assert text.count("Exchange hashpartitioning") == 1  # the distinct staging keys only
+
+
+def test_large_staging_falls_back_to_a_shuffled_join(spark, tmp_path):
+    path = str(tmp_path / "prod")
+    spark.range(1000).selectExpr("string(id) h", "int(id) n", "double(id) q", "current_date() s").write.parquet(path)
+    prod = spark.read.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(pr.promote(prod, prod, "pk_delete_insert", keys=KEY, rows=pr.SMALL_ROWS + 1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert values(pr.promote(prod, prod, "pk_delete_insert", keys=KEY).selectExpr("count(*)")) == [1000]
