@@ -1,0 +1,48 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+import os
+import sys
+
+import duckdb
+import pytest
+
+from tests.conftest import SF
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import __spark_entry__ as entry_points  # noqa: E402
+
+QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+TABLES = [name.removesuffix(".parquet") for name in sorted(os.listdir(SF))] if os.path.isdir(SF) else []
+
+pytestmark = pytest.mark.skipif(not TABLES, reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return connection
+
+
+def normal(names, found):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return [names[i] for i in order], sorted((tuple(row[i] for i in order) for row in found), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_its_sql(spark, duck, name):
+    frame = QUERIES[name](spark, SF)
+    cursor = duck.execute(SQL[name])
+    want = normal([column[0] for column in cursor.description], cursor.fetchall())
+    assert normal(frame.columns, [tuple(row) for row in frame.collect()]) == want
+    assert want[1]
+
+
+def test_every_query_has_sql():
+    assert set(SQL) == set(QUERIES)
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() > 0
