@@ -14,7 +14,10 @@ def spark(tmp_path_factory):
         "tidemark-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "2",
+            # Compiling a stage costs more than running it on a few rows; the query tests, the
+            # checker and the bench run with it on.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.checkpoint.dir": str(shared),

@@ -18,6 +18,13 @@ TABLES = [name.removesuffix(".parquet") for name in sorted(os.listdir(SF))] if o
 pytestmark = pytest.mark.skipif(not TABLES, reason="no test tables")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()

@@ -54,7 +54,7 @@ def test_bad_number_fails_the_load(spark, bad):
 
 def test_na_tokens(spark):
     frame = texts(spark, "NA", "null", "nan", "None", "N/A", "", "na", " ", "x")
-    assert values(frame.select(ty.blank_to_null(F.col("c")))) == [None] * 6 + ["na", " ", "x"]
+    assert values(frame.select(ty.blank_to_null("c"))) == [None] * 6 + ["na", " ", "x"]
 
 
 def test_strip_is_all_whitespace(spark):

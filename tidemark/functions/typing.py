@@ -69,9 +69,13 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
-def blank_to_null(c: Column) -> Column:
-    """NULL for the missing-value texts a reader knows (after ``nullValue``, which is single)."""
-    return F.when(~c.isin(*NA_TOKENS), c)
+def blank_to_null(name: str) -> Column:
+    """A text column with NULL for the missing-value texts (a reader's ``nullValue`` is single).
+
+    Written as SQL text, since exports have many columns and each would need many literals.
+    """
+    tokens = ", ".join(f"'{token}'" for token in NA_TOKENS)
+    return F.expr(f"CASE WHEN {quoted(name)} NOT IN ({tokens}) THEN {quoted(name)} END").alias(name)
 
 
 def parse_stamp(c: Column, formats: Sequence[str]) -> Column:

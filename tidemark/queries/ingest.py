@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.functions.columns import col
 from tidemark.functions.typing import blank_to_null
 from tidemark.operators import guards, shape
 from tidemark.operators.transforms import keep_first, with_global_max
@@ -99,7 +98,7 @@ def type_and_normalize(spark, sf_dir):
     ]
     types = {"update stamp": "datetime", "Order.Date": "date", "Total": "float", "Customer": "int"}
     raw = orders_as_text(spark, sf_dir)
-    raw = raw.select(*(blank_to_null(col(name)).alias(name) for name in raw.columns))
+    raw = raw.select(*(blank_to_null(name) for name in raw.columns))
     typed = shape.apply_types(raw, types, datetime_format="%m/%d/%Y %I:%M:%S %p")
     clean = shape.normalize(typed, types, keep_whitespace=["PaddedKey"])
     mapped = shape.map_columns(clean, mapping)

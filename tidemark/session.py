@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # A side whose files (or, at run time, whose rows) are larger than this is never broadcast.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
 }
 
 _local_dirs: dict[str, str] = {}

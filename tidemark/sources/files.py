@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import col
 from tidemark.functions.typing import blank_to_null
 from tidemark.sources.tables import path_exists
 
@@ -77,7 +76,7 @@ def read_text_export(
     else:
         names = _reader(spark, options).option("header", True).csv(path).columns
         frame = _reader(spark, options).schema(text_schema(names)).option("header", True).csv(path)
-    columns = [blank_to_null(col(name)).alias(name) for name in names]
+    columns = [blank_to_null(name) for name in names]
     if with_order:
         columns.append(_file_order().alias(FILE_ORDER))
     return frame.select(*columns)
@@ -86,9 +85,7 @@ def read_text_export(
 def _header_names(spark: SparkSession, line: str, options: Mapping[str, str]) -> list[str]:
     width = line.count(options.get("sep", ",")) + 1
     cells = ", ".join(f"c{index} string" for index in range(width))
-    parsed = spark.createDataFrame([(line,)], "line string").select(
-        F.from_csv("line", cells, {"escape": '"', **options}).alias("cells")
-    )
+    parsed = spark.range(1).select(F.from_csv(F.lit(line), cells, {"escape": '"', **options}).alias("cells"))
     names = list(parsed.first().cells)
     while names and names[-1] is None:
         names.pop()
@@ -133,7 +130,6 @@ def missing_inputs(
     spark: SparkSession, inputs: Sequence[tuple[str, str, str]], since: dt.datetime | None = None
 ) -> list[str]:
     """Names of the ``(name, folder, pattern)`` inputs without a file (newer than ``since``)."""
-    wanted = spark.createDataFrame([(name,) for name, _, _ in inputs], "name string")
     present = None
     for name, folder, pattern in inputs:
         files = list_files(spark, folder, pattern)
@@ -141,7 +137,5 @@ def missing_inputs(
             files = files.where(F.col("modified") > F.lit(since))
         names = files.limit(1).select(F.lit(name).alias("name"))
         present = names if present is None else present.unionByName(names)
-    if present is None:
-        return []
-    absent = {row.name for row in wanted.join(present, "name", "left_anti").collect()}
-    return [name for name, _, _ in inputs if name in absent]
+    found = {row.name for row in present.collect()} if present is not None else set()
+    return [name for name, _, _ in inputs if name not in found]

@@ -8,7 +8,6 @@ old state in place, and the next run overwrites the left-over folder.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -156,8 +155,13 @@ class Table:
 
     def commit(self, staged: Staged) -> int:
         """Make a staged state the visible one."""
-        row = [(staged.version, staged.folder, staged.rows, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
-        self.spark.createDataFrame(row, _COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        row = self.spark.range(1).select(
+            F.lit(staged.version).cast("long").alias("version"),
+            F.lit(staged.folder).alias("folder"),
+            F.lit(staged.rows).cast("long").alias("rows"),
+            F.current_timestamp().alias("committed"),
+        )
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return staged.rows
 
     def overwrite(self, frame: DataFrame) -> int:
