@@ -35,6 +35,16 @@ def test_mixed_dates(spark):
     assert values(frame.select(ty.to_date(F.col("c")))) == [day] * 4 + [SENTINEL.date()] * 2
 
 
+def test_separators_choose_the_format(spark):
+    frame = texts(spark, "2025-04-02T10:00:00", "2025-04-02 10:00:00", "4/2/2025 10:00:00", "2025/04/02", "04-02-2025")
+    at = dt.datetime(2025, 4, 2, 10)
+    assert values(frame.select(ty.to_datetime(F.col("c")))) == [at] * 3 + [SENTINEL] * 2
+
+
+def test_infinite_text_is_a_number(spark):
+    assert values(texts(spark, "inf", "-inf").select(ty.to_float(F.col("c")))) == [float("inf"), float("-inf")]
+
+
 def test_strict_date_format_rejects_other_shape(spark):
     got = values(texts(spark, "20250402", "04/02/2025").select(ty.to_date(F.col("c"), "%m/%d/%Y")))
     assert got == [SENTINEL.date(), dt.date(2025, 4, 2)]

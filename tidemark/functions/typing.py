@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,9 +78,23 @@ def blank_to_null(name: str) -> Column:
     return F.expr(f"CASE WHEN {quoted(name)} NOT IN ({tokens}) THEN {quoted(name)} END").alias(name)
 
 
+def _fits_shape(c: Column, fmt: str) -> Column:
+    """Whether a value has the separators of a format and no others.
+
+    Trying a format on a value it cannot read costs an exception; this costs a few searches.
+    """
+    fits = F.lit(True)
+    for separator in "/-:T":
+        found = c.contains(separator)
+        fits = fits & (found if separator in re.sub(r"%.", "", fmt) else ~found)
+    return fits
+
+
 def parse_stamp(c: Column, formats: Sequence[str]) -> Column:
     """The first format that reads the value, as a zone-less timestamp; else NULL."""
     tries = [F.try_to_timestamp(c, F.lit(spark_pattern(fmt))) for fmt in formats]
+    if len(formats) > 1:
+        tries = [F.when(_fits_shape(c, fmt), attempt) for fmt, attempt in zip(formats, tries)]
     stamp = F.coalesce(*tries).cast(T.TimestampNTZType())
     low = F.lit(FIRST_DAY).cast(T.TimestampNTZType())
     high = F.lit(LAST_DAY).cast(T.TimestampNTZType())
@@ -111,7 +125,7 @@ def to_float(c: Column) -> Column:
     """Number without thousands separators. Bad text raises; NULL stays NULL."""
     text = _digits(c)
     # Java also reads a type suffix ("1.5d"), which is bad text here.
-    suffixed = text.rlike(r"[0-9.][dDfF]$")
+    suffixed = F.substring(text, -1, 1).isin("d", "D", "f", "F") & ~F.lower(text).isin("inf", "+inf", "-inf")
     return F.when(suffixed, F.raise_error(F.concat(F.lit("could not convert string to float: "), text))).otherwise(
         text.cast("double")
     )
@@ -170,10 +184,3 @@ def text_columns(schema: T.StructType) -> list[str]:
 
 def as_columns(names: Sequence[str]) -> list[Column]:
     return [F.col(quoted(name)) for name in names]
-
-
-def active_session() -> SparkSession:
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        raise RuntimeError("No active Spark session.")
-    return spark

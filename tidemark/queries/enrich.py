@@ -62,13 +62,13 @@ def lookup_enrich(spark, sf_dir):
 @query(
     """
 SELECT DISTINCT l_suppkey FROM lineitem
-WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
+WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)
 """
 )
 def unmapped_keys(spark, sf_dir):
     """Keys of the lines without a complete mapping row."""
     mapping = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("name")
+        F.col("s_suppkey").alias("l_suppkey"), F.when(F.col("s_acctbal") > 5000, F.col("s_name")).alias("name")
     )
     return unmapped(table(spark, sf_dir, "lineitem"), "l_suppkey", mapping, ["l_suppkey", "name"])
 

@@ -33,12 +33,15 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def require_utc(spark: SparkSession) -> None:
-    """Stamps are parsed through a session-zone timestamp and then lose their zone, so a
-    zone with daylight saving would move the hours that do not exist in it."""
+def require_settings(spark: SparkSession) -> None:
+    """Stamps are parsed through a session-zone timestamp and then lose their zone, so a zone with
+    daylight saving would move the hours that do not exist in it. Bad numbers fail a load only
+    under ANSI casts."""
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in {"UTC", "Etc/UTC", "Z", "GMT", "+00:00"}:
         raise ValueError(f"spark.sql.session.timeZone must be UTC to parse stamps; it is {zone!r}.")
+    if spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
+        raise ValueError("spark.sql.ansi.enabled must be true, or bad numbers would become NULL.")
 
 
 def shared_dir(spark: SparkSession) -> str:
