@@ -7,6 +7,8 @@ cut to the hour, so that reruns tie.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import health
@@ -90,6 +92,18 @@ def health_latest(spark, sf_dir):
     return latest(spark, sf_dir)
 
 
+@query(
+    LOG_SQL
+    + """SELECT p AS "ProcessName", c AS "DBConnection", t AS "TargetTableType", s AS "TaskStatus", run AS "LastRunTime", event_id AS "ProcessID"
+FROM log WHERE day = '2024-01-15' AND p IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_5', 'NATION_8')"""
+)
+def health_day_rows(spark, sf_dir):
+    """The log rows of one day and a set of processes."""
+    names = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8"]
+    found = health.rows_of_day(health_log(spark, sf_dir), dt.date(2024, 1, 15), names)
+    return found.select("ProcessName", "DBConnection", "TargetTableType", "TaskStatus", "LastRunTime", "ProcessID")
+
+
 @query(LOG_SQL + 'SELECT day, p AS "ProcessName", st AS "Status", only_prd AS "OnlyPromotionFailed" FROM status')
 def health_status(spark, sf_dir):
     """One status per process."""

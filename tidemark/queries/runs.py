@@ -10,7 +10,10 @@ from tidemark.operators.transforms import Run
 from tidemark.plans.load import StepResult, health_frame, run_load
 from tidemark.plans.process import run_process
 from tidemark.plans.spec import (
+    AuxStaging,
     Destination,
+    GuardedMerge,
+    Lifecycle,
     LoadSpec,
     OverlapCheck,
     ProcessDestination,
@@ -23,7 +26,7 @@ from tidemark.plans.spec import (
 )
 from tidemark.queries.base import ORACLES, query, scratch, table
 from tidemark.queries.ingest import DEDUP_SQL, LINE_KEY, deduped_lines
-from tidemark.queries.promotion import stamp
+from tidemark.queries.promotion import ERROR_KEY, ERRORS_SQL, open_errors, stamp
 from tidemark.sources.tables import Table, append_rows
 
 RUN_AT = dt.datetime(2026, 7, 28, 6, 30)
@@ -147,6 +150,95 @@ def load_health(spark, sf_dir):
     )
 
 
+ORDER_KEY = ("o_orderkey",)
+
+FEED_SQL = """
+WITH feed AS (SELECT l_orderkey, min(l_linestatus) AS status, max(l_shipdate) AS shipped FROM lineitem GROUP BY 1)
+SELECT o_orderkey, o_custkey, CASE WHEN shipped > o_orderdate THEN status ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN shipped > o_orderdate THEN shipped ELSE o_orderdate END AS changed
+FROM orders LEFT JOIN feed ON o_orderkey = l_orderkey
+"""
+
+
+@query(FEED_SQL)
+def load_side_feed(spark, sf_dir):
+    """Orders merged into production by key, then two columns from a second
+    export that landed in its own staging table."""
+    home = scratch(spark, "load_side_feed")
+    text = "MM/dd/yyyy hh:mm:ss a"
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("Order"),
+        F.col("o_custkey").cast("string").alias("Customer"),
+        F.col("o_orderstatus").alias("Status"),
+        F.date_format("o_orderdate", text).alias("Order.Date"),
+    )
+    shipped = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("Order")).agg(
+        F.min("l_linestatus").alias("Status"), F.date_format(F.max("l_shipdate"), text).alias("Shipped")
+    )
+    main = mapping_rows(
+        [
+            ["Order", "o_orderkey", "int", "bigint", "source"],
+            ["Customer", "o_custkey", "int", "bigint", "source"],
+            ["Status", "o_orderstatus", "string", "varchar(1)", "source"],
+            ["Order.Date", "changed", "datetime", "datetime", "source"],
+        ]
+    )
+    feed = mapping_rows(
+        [
+            ["Order", "o_orderkey", "int", "bigint", "source"],
+            ["Status", "o_orderstatus", "string", "varchar(1)", "source"],
+            ["Shipped", "changed", "datetime", "datetime", "source"],
+        ]
+    )
+    stamps = "%m/%d/%Y %I:%M:%S %p"
+    place = Destination(
+        "des1", TableRef(f"{home}/staging"), TableRef(f"{home}/prod"), aux_staging={"shipped": TableRef(f"{home}/shipped")}
+    )
+    spec = LoadSpec(
+        "order", "Order", (SourceFile(home, "orders"), SourceFile(home, "shipped", alias="shipped")), (place,), main,
+        strategy="pk_merge", key=ORDER_KEY, datetime_format=stamps,
+        aux=(AuxStaging("shipped", "shipped", feed, ORDER_KEY, datetime_format=stamps),),
+        guarded=GuardedMerge("shipped", ORDER_KEY, ("o_orderstatus", "changed"), "s.`changed` > p.`changed`"),
+    )
+    result = run_load(spark, spec, run_at=RUN_AT, frames={"main": orders, "shipped": shipped})
+    if result.status != "SUCCESS":
+        raise RuntimeError(result.error)
+    return Table(spark, place.prod.path).read()
+
+
+@query(
+    ERRORS_SQL
+    + """
+SELECT "ErrorStatus", "ErrorMessageNumber", count(*) AS "ErrorCount", '2024-01-31' AS "ReportDate" FROM merged GROUP BY 1, 2
+UNION ALL SELECT 'New', "ErrorMessageNumber", count(*), '2024-01-16' FROM prod GROUP BY 2
+"""
+)
+def load_lifecycle(spark, sf_dir):
+    """Two days of an error export; the second production table counts each day."""
+    home = scratch(spark, "load_lifecycle")
+    stat = TableRef(f"{home}/stat")
+    place = Destination("des1", TableRef(f"{home}/staging"), TableRef(f"{home}/prod"), aux_prod={"stat": stat})
+    spec = LoadSpec(
+        "error", "Error", (SourceFile(home, "errors"),), (place,),
+        mapping_rows(
+            [
+                ["Contract", "Contract", "int", "bigint", "source"],
+                ["ContractLine", "ContractLine", "string", "varchar(20)", "source"],
+                ["ErrorMessageNumber", "ErrorMessageNumber", "int", "int", "source"],
+                ["worst", "worst", "float", "float", "source"],
+            ]
+        ),
+        strategy="pk_merge", key=tuple(ERROR_KEY), lifecycle=Lifecycle(tuple(ERROR_KEY), stat_table="stat"),
+    )
+    for late, day in ((False, dt.datetime(2024, 1, 16, 6)), (True, dt.datetime(2024, 1, 31, 6))):
+        errors = open_errors(spark, sf_dir, late)
+        export = errors.select(*(F.col(name).cast("string").alias(name) for name in errors.columns))
+        result = run_load(spark, spec, run_at=day, frames={"main": export})
+        if result.status != "SUCCESS":
+            raise RuntimeError(result.error)
+    return Table(spark, stat.path).read().withColumn("ReportDate", F.col("ReportDate").cast("string"))
+
+
 @query(ORACLES["search_terms"])
 def search_terms_process(spark, sf_dir):
     """A gated process rebuilds the search terms from a stored view."""
