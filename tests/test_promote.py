@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows, values
 from tidemark.operators import promote as pr
+from tidemark.sources.tables import read_partitioned
 
 SCHEMA = "h string, n int, q double, s date"
 D1, D2, D3 = dt.date(2026, 1, 1), dt.date(2026, 1, 2), dt.date(2026, 1, 3)
@@ -164,3 +165,31 @@ def test_large_staging_falls_back_to_a_shuffled_join(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "Broadcast" not in text
     assert values(pr.promote(prod, prod, "pk_delete_insert", keys=KEY).selectExpr("count(*)")) == [1000]
+
+
+@pytest.mark.parametrize("partition_by", [["h"], ["h", "n"]])
+def test_touched_partitions_prune_the_scan(spark, tmp_path, partition_by):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("A", 1, 1.0), ("B", 1, 3.0), (None, 2, 4.0)], "h string, n int, q double").write.partitionBy(*partition_by).parquet(path)
+    stg = spark.createDataFrame([("A", 1, 7.0), (None, 2, 8.0)], "h string, n int, q double")
+    touched = pr.touched_partitions(spark.read.parquet(path), stg, partition_by)
+    assert rows(touched, "h", "q") == [("A", 1.0), (None, 4.0)]
+    assert "PartitionFilters: [(" in plan(touched) and "A" in plan(touched).split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_many_touched_partitions_use_a_join(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("A", 1), ("B", 1), ("C", 1)], "h string, n int").write.partitionBy("h").parquet(path)
+    stg = spark.createDataFrame([("A", 1), ("B", 2)], "h string, n int")
+    monkeypatch.setattr(pr, "MAX_NAMED_PARTITIONS", 1)
+    assert rows(pr.touched_partitions(spark.read.parquet(path), stg, ["h"]), "h") == [("A",), ("B",)]
+
+
+def test_number_like_partition_values_keep_their_type(spark, tmp_path):
+    path = str(tmp_path / "t")
+    history = [("01", 1, 1.0), ("01", 2, 5.0), ("1", 1, 2.0), ("1", 3, 6.0)]
+    spark.createDataFrame(history, "h string, n int, q double").write.partitionBy("h").parquet(path)
+    stg = spark.createDataFrame([("1", 1, 9.0)], "h string, n int, q double")
+    pr.rewrite_partitions(path, stg, ["h"], lambda prod: pr.promote(prod, stg, "pk_delete_insert", keys=KEY))
+    got = read_partitioned(spark, path, stg.select("h").schema)
+    assert rows(got, "h", "n", "q") == [("01", 1, 1.0), ("01", 2, 5.0), ("1", 1, 9.0), ("1", 3, 6.0)]

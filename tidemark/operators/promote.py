@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
 from tidemark.functions.typing import as_columns
+from tidemark.sources.tables import read_partitioned
 
 # The strategy names.
 STRATEGIES = (
@@ -224,6 +225,34 @@ def promote(
     raise ValueError(f"prd_load strategy must be one of {', '.join(sorted(STRATEGIES))}; got {strategy!r}.")
 
 
+# Partition values up to this many are named in the scan's filter; beyond it most of a table is
+# touched anyway, and a semi join keeps the same rows.
+MAX_NAMED_PARTITIONS = 1_000
+
+
+def touched_partitions(prod: DataFrame, changes: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The rows of the partitions that ``changes`` falls in.
+
+    The values are read first (they are no more than the table has folders) and put in the filter
+    as literals, so the other folders are not even listed. A join would prune only when Spark
+    thinks it selective.
+    """
+    values = changes.select(*as_columns(partition_by)).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if len(values) > MAX_NAMED_PARTITIONS:
+        return matching(prod, changes, partition_by)
+    chosen = F.lit(False)
+    if len(partition_by) == 1:
+        known = [row[0] for row in values if row[0] is not None]
+        chosen = col(partition_by[0]).isin(known) if known else chosen
+        if len(known) < len(values):
+            chosen = chosen | col(partition_by[0]).isNull()
+    else:
+        for row in values:
+            same = (col(name).eqNullSafe(F.lit(value)) for name, value in zip(partition_by, row))
+            chosen = chosen | reduce(lambda a, b: a & b, same)
+    return prod.where(chosen)
+
+
 def rewrite_partitions(
     path: str,
     changes: DataFrame,
@@ -232,15 +261,13 @@ def rewrite_partitions(
 ) -> None:
     """Rewrite only the partitions of a parquet table that ``changes`` touches.
 
-    ``rewrite`` is given the rows of those partitions. They are found by the engine (the semi
-    join prunes partitions at run time), so the rest of the table is neither read nor written.
-    Right only when a key never moves between partitions, that is when ``partition_by`` is part
-    of the key that ``rewrite`` matches on.
+    ``rewrite`` is given the rows of those partitions; the rest of the table is neither read nor
+    written. Right only when a key never moves between partitions, that is when ``partition_by``
+    is part of the key that ``rewrite`` matches on.
     """
-    spark = changes.sparkSession
-    touched = matching(spark.read.parquet(path), changes, partition_by)
+    stored = read_partitioned(changes.sparkSession, path, changes.select(*as_columns(partition_by)).schema)
     (
-        rewrite(touched)
+        rewrite(touched_partitions(stored, changes, partition_by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import col
 from tidemark.functions.typing import as_columns
@@ -36,6 +37,16 @@ def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
     return frame.select(*as_columns(columns)) if columns else frame
 
 
+def read_partitioned(spark: SparkSession, path: str, partition_schema: T.StructType) -> DataFrame:
+    """A parquet folder whose partition columns have the given types.
+
+    Their values are folder names; left to inference the text ``01`` would become the number 1.
+    """
+    known = {field.name: field for field in partition_schema}
+    inferred = spark.read.parquet(path).schema
+    return spark.read.schema(T.StructType([known.get(field.name, field) for field in inferred])).parquet(path)
+
+
 def read_view(spark: SparkSession, name: str, required: Sequence[str]) -> DataFrame:
     """As :func:`read_table`, failing when a required column is absent."""
     frame = read_table(spark, name)
