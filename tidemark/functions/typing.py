@@ -79,11 +79,12 @@ def blank_to_null(name: str) -> Column:
 
 
 def _fits_shape(c: Column, fmt: str) -> Column:
-    """Whether a value has the separators of a format and no others.
+    """Whether a value has the separators of a format and no others, and ends in AM or PM if it must.
 
     Trying a format on a value it cannot read costs an exception; this costs a few searches.
     """
-    fits = F.lit(True)
+    halves = F.substring(c, -1, 1).isin("M", "m")
+    fits = halves if "%p" in fmt else ~halves
     for separator in "/-:T":
         found = c.contains(separator)
         fits = fits & (found if separator in re.sub(r"%.", "", fmt) else ~found)

@@ -36,9 +36,9 @@ STRATEGIES = (
 
 NEW, PERSISTING, RESOLVED = "New", "Persisting", "Resolved"
 
-# Staging tables of at most this many counted rows have their keys broadcast (some 200 MB at
+# Staging tables of at most this many counted rows have their keys broadcast (some 100 MB at
 # 100 bytes a key), which spares a shuffle of the whole production table.
-SMALL_ROWS = 2_000_000
+SMALL_ROWS = 1_000_000
 
 
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:

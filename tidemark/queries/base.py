@@ -22,6 +22,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set("spark.sql.ansi.enabled", "true")
             return function(spark, sf_dir)
 
         run.__name__, run.__doc__ = name, function.__doc__
