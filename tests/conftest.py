@@ -15,9 +15,11 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "2",
-            # Compiling a stage costs more than running it on a few rows; the query tests, the
-            # checker and the bench run with it on.
+            # Compiling and re-planning a stage costs more than running it on a few rows; the query
+            # tests, the checker and the bench run with both on.
             "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.adaptive.enabled": "false",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.checkpoint.dir": str(shared),

@@ -20,9 +20,11 @@ pytestmark = pytest.mark.skipif(not TABLES, reason="no test tables")
 
 @pytest.fixture(scope="module", autouse=True)
 def compiled(spark):
-    spark.conf.set("spark.sql.codegen.wholeStage", "true")
-    yield
-    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    for value in ("true", "false"):
+        spark.conf.set("spark.sql.codegen.wholeStage", value)
+        spark.conf.set("spark.sql.adaptive.enabled", value)
+        if value == "true":
+            yield
 
 
 @pytest.fixture(scope="module")
