@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
@@ -19,6 +20,17 @@ def test_all_columns_are_text_and_na_tokens_null(spark, tmp_path):
     assert rows(frame) == sorted([("001", 'x, "y"', None), (None, None, " z ")], key=repr)
 
 
+def test_row_lengths(spark, tmp_path):
+    short = write(tmp_path / "a.csv", "a,b\n1\n2,x\n\n3,\n")
+    assert rows(f.read_text_export(spark, short)) == sorted([("1", None), ("2", "x"), ("3", None)], key=repr)
+    long = f.read_text_export(spark, write(tmp_path / "b.csv", "a,b\n1,2\n4,5,6\n"))
+    for frame in (long, long.select("a"), long.selectExpr("count(*)")):
+        with pytest.raises(PySparkException, match="more than 2 values, from: 6"):
+            frame.collect()
+    banner = write(tmp_path / "c.csv", "one,two,three\nfour,five,six,seven\na,b\n1,2\n")
+    assert rows(f.read_text_export(spark, banner, skip_rows=2)) == [("1", "2")]
+
+
 def test_quoted_line_breaks(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n1,"two\nlines"\n')
     assert rows(f.read_text_export(spark, path, options={"multiLine": "true"})) == [("1", "two\nlines")]
@@ -31,6 +43,8 @@ def test_banner_rows_are_skipped_even_when_data_repeats_them(spark, tmp_path):
     assert rows(frame) == [("1", "a"), ("Report of", " the day"), ("id", "na,me")]
     two = write(tmp_path / "b.csv", "one\ntwo\nid,v\n1,a\n")
     assert rows(f.read_text_export(spark, two, skip_rows=2)) == [("1", "a")]
+    blank = write(tmp_path / "d.csv", "one\n\nid,v\n1,a\n2,b\n")
+    assert rows(f.read_text_export(spark, blank, skip_rows=2)) == [("1", "a"), ("2", "b")]
     with pytest.raises(ValueError, match="no header"):
         f.read_text_export(spark, write(tmp_path / "c.csv", "one\n"), skip_rows=2)
 
@@ -90,4 +104,4 @@ def test_only_asked_columns_are_parsed(spark, tmp_path):
 
     path = write(tmp_path / "a.csv", "a,b,c\n1,2,3\n")
     text = plan(f.read_text_export(spark, path).select(F.col("b")))
-    assert "ReadSchema: struct<b:string>" in text
+    assert "ReadSchema: struct<b:string,_beyond_header:string>" in text

@@ -111,15 +111,12 @@ def summary(status: DataFrame, roster: DataFrame, day: str | None = None) -> Dat
 
     The denominator is the whole roster, ran or not; without a roster it is what ran.
     """
-    listed = status.join(roster.select("ProcessName").distinct(), "ProcessName", "left_semi")
-    known = listed.withColumn("_listed", F.lit(1)).unionByName(
-        status.withColumn("_listed", F.lit(0)), allowMissingColumns=True
-    )
-    each = F.col("_listed") == 0
-    counts = known.groupBy(*_keys(day)).agg(
-        *(F.count_if(each & (F.col("Status") == name)).alias(f"n_{label}") for name, label in _LABELS),
-        F.count_if(each).alias("n_attempted"),
-        F.count_if(~each).alias("_ran"),
+    names = roster.select("ProcessName").distinct().withColumn("_listed", F.lit(True))
+    marked = status.join(names, "ProcessName", "left")
+    counts = marked.groupBy(*_keys(day)).agg(
+        *(F.count_if(F.col("Status") == name).alias(f"n_{label}") for name, label in _LABELS),
+        F.count(F.lit(1)).alias("n_attempted"),
+        F.count("_listed").alias("_ran"),
     )
     roster_size = roster.agg(F.count_distinct("ProcessName")).scalar()
     counts = counts.withColumn("_roster", roster_size)

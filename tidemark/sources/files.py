@@ -15,6 +15,10 @@ from tidemark.sources.tables import path_exists
 # Column that keeps the order of rows in their file, where a tie-break needs it.
 FILE_ORDER = "_file_order"
 
+# Column that catches what a row holds beyond its header. A reader would drop it without a word,
+# and a row that is too long is mostly a quoting fault in which every later field is shifted.
+_BEYOND = "_beyond_header"
+
 # Low bits of monotonically_increasing_id(): the row's place in its partition.
 _ROW_IN_PARTITION = (1 << 33) - 1
 
@@ -26,7 +30,7 @@ def _file_order() -> Column:
     block offsets order the blocks. Unlike a global row number this needs no extra job.
     """
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -37,7 +41,7 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 
 
 def _is_lead(count: int) -> Column:
-    """True for the first ``count`` lines of the one file a frame was read from."""
+    """True for the first ``count`` rows of the one file a frame is read from."""
     in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION))
     return (F.col("_metadata.file_block_start") == 0) & (F.spark_partition_id() == 0) & (in_partition < count)
 
@@ -56,7 +60,8 @@ def read_text_export(
     with_order: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A CSV export with every column as text; missing-value texts become NULL.
+    """A CSV export with every column as text; missing-value texts become NULL. A row with more
+    values than the header stops the job, a shorter one ends in NULLs.
 
     The header is read first (a one-line job), so nothing is inferred and no column changes
     type between runs. ``skip_rows`` drops banner lines above the header; such a ``path`` must
@@ -69,13 +74,17 @@ def read_text_export(
         if len(lead) <= skip_rows:
             raise ValueError(f"{path} has no header line below its {skip_rows} banner line(s).")
         names = _header_names(spark, lead[-1], options)
-        # Spark's own header handling drops the first line of a file; the rest of the banner and
-        # the header are the lines that come next in the file's first block.
-        frame = _reader(spark, options).schema(text_schema(names)).option("header", True).csv(path)
-        frame = frame.where(~_is_lead(skip_rows))
+        # The CSV reader leaves out blank lines and takes the first line as the header; what is left
+        # of banner and header are the rows it would give first.
+        extra = sum(1 for line in lead if line.strip()) - 1
     else:
+        extra = 0
         names = _reader(spark, options).option("header", True).csv(path).columns
-        frame = _reader(spark, options).schema(text_schema(names)).option("header", True).csv(path)
+    frame = _reader(spark, options).schema(text_schema([*names, _BEYOND])).option("header", True).csv(path)
+    fits = F.when(F.col(_BEYOND).isNull(), True).otherwise(
+        F.raise_error(F.concat(F.lit(f"row has more than {len(names)} values, from: "), F.col(_BEYOND)))
+    )
+    frame = frame.where(F.when(_is_lead(extra), False).otherwise(fits) if extra else fits)
     columns = [blank_to_null(name) for name in names]
     if with_order:
         columns.append(_file_order().alias(FILE_ORDER))
