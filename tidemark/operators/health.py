@@ -100,10 +100,20 @@ def not_run(roster: DataFrame, status: DataFrame) -> DataFrame:
     return roster.join(status.select("ProcessName").distinct(), "ProcessName", "left_anti")
 
 
+# Fixed value: the tag of processes that are not part of the daily roster.
+ON_DEMAND = "on-demand"
+
+
+def daily_only(roster: DataFrame) -> DataFrame:
+    """The roster without on-demand entries."""
+    if "Tags" not in roster.columns:
+        return roster
+    return roster.where(~F.array_contains(F.coalesce(F.col("Tags"), F.array().cast("array<string>")), ON_DEMAND))
+
+
 def display_names(names: DataFrame, roster: DataFrame) -> DataFrame:
     """Config names joined to process names; on-demand entries are not in the daily roster."""
-    daily = roster.where(~F.array_contains(F.coalesce(F.col("Tags"), F.array().cast("array<string>")), "on-demand"))
-    return names.join(daily.select("ProcessName", "ConfigName"), "ProcessName", "left")
+    return names.join(daily_only(roster).select("ProcessName", "ConfigName"), "ProcessName", "left")
 
 
 def summary(status: DataFrame, roster: DataFrame, day: str | None = None) -> DataFrame:
