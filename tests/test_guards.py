@@ -13,7 +13,7 @@ def test_duplicate_keys_count_null_as_equal(spark):
     assert "pk_check" in g.check_keys(frame, ["k", "n"], fail=False)
     assert g.check_keys(frame.distinct(), ["k", "n"]) is None
     assert g.check_keys(frame, []) is None
-    with pytest.raises(ValueError, match="missing from dataframe"):
+    with pytest.raises(ValueError, match="the frame lacks"):
         g.check_keys(frame, ["zz"])
 
 

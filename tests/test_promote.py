@@ -87,7 +87,7 @@ def test_unknown_staging_column_fails(prod, stg):
 
 
 def test_strategy_checks(prod, stg):
-    with pytest.raises(ValueError, match="must be one of"):
+    with pytest.raises(ValueError, match="no strategy"):
         pr.promote(prod, stg, "upsert", keys=KEY)
     with pytest.raises(ValueError, match="key columns"):
         pr.promote(prod, stg, "pk_merge")

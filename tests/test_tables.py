@@ -55,7 +55,7 @@ def test_reads(spark, tmp_path):
     assert t.read_table(spark, path, ["x.y"]).columns == ["x.y"]
     spark.read.parquet(path).createOrReplaceTempView("some_view")
     assert t.read_view(spark, "some_view", ["z"]).count() == 1
-    with pytest.raises(ValueError, match="missing expected column"):
+    with pytest.raises(ValueError, match="lacks column"):
         t.read_view(spark, "some_view", ["q"])
     meta = t.table_columns(spark.table("some_view"), identity=["z"])
     assert rows(meta, "name", "data_type", "is_identity", "ordinal_position") == [("x.y", "int", False, 1), ("z", "string", True, 2)]

@@ -14,7 +14,7 @@ from tidemark.sources.tables import overwrite_partition
 def window_dates(end: dt.date, backfill_days: int) -> list[dt.date]:
     """The end date and the ``backfill_days`` before it, oldest first."""
     if backfill_days < 0:
-        raise ValueError(f"backfill_days must be >= 0; got {backfill_days}.")
+        raise ValueError(f"backfill_days is negative: {backfill_days}")
     return [end - dt.timedelta(days=back) for back in range(backfill_days, -1, -1)]
 
 

@@ -16,6 +16,9 @@ log = logging.getLogger("tidemark")
 
 MODES = ("enforce", "warn", "skip")
 
+# Fixed value: what the log says of a load whose file lacked optional columns.
+OPTIONAL_MISSING = "COLUMN NOT FOUND (warning): expected file column(s) {} missing; not loaded, ETL continued."
+
 
 class GuardError(ValueError):
     """A check in enforce mode failed."""
@@ -24,7 +27,7 @@ class GuardError(ValueError):
 def decide(mode: str, message: str | None) -> str | None:
     """Raise, log or ignore a failed check; returns the message it logged."""
     if mode not in MODES:
-        raise ValueError(f"mode must be one of: {', '.join(MODES)}; got {mode!r}.")
+        raise ValueError(f"no mode {mode!r}; there are {', '.join(MODES)}")
     if message is None or mode == "skip":
         return None
     if mode == "enforce":
@@ -37,7 +40,7 @@ def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their count. NULL keys count as equal."""
     missing = [key for key in keys if key not in frame.columns]
     if missing:
-        raise ValueError(f"pk_check columns missing from dataframe: {missing}")
+        raise ValueError(f"pk_check names columns the frame lacks: {missing}")
     return frame.groupBy(*as_columns(keys)).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
 
 
@@ -131,12 +134,10 @@ def missing_columns(present: Sequence[str], required: Sequence[str], optional: S
     """Fail on a missing required column; return a warning for missing optional ones."""
     absent = sorted(set(required) - set(present))
     if absent:
-        raise GuardError(f"source file is missing expected columns: {absent}")
+        raise GuardError(f"file: missing expected columns {absent}")
     loose = sorted(set(optional) - set(present))
     if not loose:
         return None
-    warning = (
-        f"COLUMN NOT FOUND (warning): expected file column(s) {', '.join(loose)} missing; not loaded, ETL continued."
-    )
+    warning = OPTIONAL_MISSING.format(", ".join(loose))
     log.warning(warning)
     return warning

@@ -222,7 +222,7 @@ def promote(
         return delete_insert(prod, stg, header_key, rows)
     if strategy == "versioned_delete_insert":
         return versioned_delete_insert(prod, stg, keys, stamps, rows)
-    raise ValueError(f"prd_load strategy must be one of {', '.join(sorted(STRATEGIES))}; got {strategy!r}.")
+    raise ValueError(f"no strategy {strategy!r}; there are {', '.join(STRATEGIES)}")
 
 
 # Partition values up to this many are named in the scan's filter; beyond it most of a table is

@@ -39,7 +39,7 @@ def search_terms(view: DataFrame, order: Column) -> DataFrame:
     """
     missing = [name for name in REQUIRED if name not in view.columns]
     if missing:
-        raise ValueError(f"view is missing expected column(s) {missing}; it returned {view.columns}.")
+        raise ValueError(f"view lacks column(s) {missing}; it has {view.columns}.")
     by_group = joined_terms(view, "Item Group", "RefSearch", order, "GroupRefs")
     # Item-level reference terms are needed only for items that have a row without a group.
     loose = view.where(col("Item Group").isNull()).select(col("Item").alias("_item")).distinct()

@@ -52,7 +52,7 @@ def read_view(spark: SparkSession, name: str, required: Sequence[str]) -> DataFr
     frame = read_table(spark, name)
     missing = [column for column in required if column not in frame.columns]
     if missing:
-        raise ValueError(f"{name} is missing expected column(s) {missing}; it returned {frame.columns}.")
+        raise ValueError(f"{name} lacks column(s) {missing}; it has {frame.columns}.")
     return frame
 
 
@@ -159,8 +159,8 @@ class Table:
         landed = self.spark.read.parquet(target).count()
         if landed != prepared:
             raise PartialLoadError(
-                f"PARTIAL STAGING LOAD: {self.path} holds {landed} rows after the load but the prepared source "
-                f"has {prepared}; the table keeps its last complete state."
+                f"PARTIAL STAGING LOAD: {landed} rows landed in {self.path}, {prepared} were prepared; the table "
+                f"keeps its last complete state."
             )
         return Staged(version, folder, landed)
 
