@@ -115,7 +115,8 @@ def assign_shards(docs: DataFrame, shards: int = 40, id_column: str = "doc_id",
         F.coalesce(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), F.lit(b"")).alias("same"),
     )
     slim = stored(rows, "sizes")
-    groups = slim.groupBy("same").agg(F.min("doc_id").alias("first"), F.sum("size").alias("weight"))
+    # Stored, so that the join below shuffles its two sides by themselves and a hot group is split.
+    groups = stored(slim.groupBy("same").agg(F.min("doc_id").alias("first"), F.sum("size").alias("weight")), "groups")
     placed = slim.join(groups, "same").select(
         "first", "same", "doc_id", "size", "text_crc32", "weight", F.lit(1).cast("long").alias("one")
     )
@@ -123,7 +124,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, id_column: str = "doc_id",
     ordered = running(ranged(placed, ["first", "same", "doc_id"]), totals).drop("first")
     ordered = global_starts(stored(ordered, "order"), totals)
     heads = ordered.groupBy("same").agg((F.min("start") + F.max("weight")).alias("end"), F.max("weight").alias("weight"))
-    heads = stored(heads, "groups")
+    heads = stored(heads, "ends")
     seen = heads.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("total"), F.coalesce(F.max("weight"), F.lit(0)).alias("largest")).first()
     _, found = minimax_cuts(heads, seen.total, seen.largest, shards)
     shard = sum((F.when(F.col("start") >= cut, 1).otherwise(0) for cut in found[:-1]), F.lit(0))
