@@ -15,7 +15,7 @@ REMEMBERED = 300_000
 # Upper-case ASCII letters to lower case, as bytes.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
-_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+_ODD, _STEP = np.uint64(0x9E3779B97F4A7C15), 0xC2B2AE3D27D4EB4F
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -50,7 +50,8 @@ class WordNumbers(dict):
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
         """The words' 64-bit hashes, the same in every process."""
-        return self._hashes[self.numbers(words)]
+        numbers = self.numbers(words)  # may replace the array of hashes
+        return self._hashes[numbers]
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -59,5 +60,5 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     size = min(size, len(hashes))
     total = np.zeros(runs, np.uint64)
     for k in range(size):
-        total = mixed(total * _ODD[0] + hashes[k : k + runs] + np.uint64(k + 1) * _ODD[1])
+        total = mixed(total * _ODD + hashes[k : k + runs] + np.uint64((k + 1) * _STEP % (1 << 64)))
     return total
