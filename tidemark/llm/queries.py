@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from tidemark.llm import licenses, near_dedup, quality, shards, token_files  # noqa: F401  (they register queries)
+from tidemark.llm import licenses, near_dedup, packing, quality, shards, token_files  # noqa: F401  (they register queries)
 from tidemark.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
