@@ -35,6 +35,12 @@ _WORDS = bytes.maketrans(
     bytes([*_SEPARATORS, *range(65, 91)]), bytes([*(32 for _ in _SEPARATORS), *range(97, 123)])
 )
 
+
+def normal_words(raw: bytes) -> list[bytes]:
+    """Words of a text: ASCII letters in lower case, digits and whatever is beyond ASCII."""
+    return raw.translate(_WORDS).split()
+
+
 _V = "(?:version |v |v)?"
 # label; name in running text; identifier as written in machine-readable headers; keyword.
 _NAMES = (
@@ -166,7 +172,7 @@ _RESULT = fields(
 
 def scan_text(raw: bytes) -> dict:
     """The scan of one text."""
-    words = raw.translate(_WORDS).split()
+    words = normal_words(raw)
     result = {"n_words": len(words), "n_base": 0, "first_word": None, "last_word": None, "base_labels": "", "labels": "", "score": 0.0, "spans": []}
     line = b" ".join(words)
     if not any(gate in line for gate in _GATES):
