@@ -1,0 +1,110 @@
+"""Personal data against the plain patterns."""
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as entry_points
+from tests.helpers import plan
+from tests.llm.conftest import SF
+from tidemark.llm.pii import find_personal_data, redacted
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        n = int(d) * (1 + k % 2)
+        total += n - 9 * (n > 9)
+    return total % 10 == 0
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    return {
+        "email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in match.split(".")),
+        "card": lambda: 12 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 9 <= len(digits) <= 15,
+    }[kind]()
+
+
+def plain_spans(text):
+    found = [(m.start(), k, m.end(), kind) for k, kind in enumerate(BASE) for m in re.finditer(BASE[kind], text or "") if valid(kind, m.group())]
+    return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(found)]
+
+
+TEXTS = [
+    "a@b.c@d.e a@b.c_x@d.e x..@y.z é😀 q@r.st. mail me: a.b+c@d-e.f.g", "1.2.3.4.5.6.7.8 256.1.1.1 0001.02.3.255 1.2.3 999", "4111 1111 1111 1111 4111-1111-1111-1112 4",
+    "+1 (017) 555-7713 ++49 30.12345678 +1 2 +12345678901234567890", "IBAN DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432 GB82WEST12345698765431",
+    "token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" ssn 123-45-6789 123-45-6789", "born 1999-12-31 1999-12-31" + " x" * 50 + " 2001-01-01",
+    "9" * 5000, "a" * 5000, "a@" + "b." * 3000 + "c", "1 " * 4000, "+" + "1." * 3000,
+]
+
+
+@pytest.fixture(scope="module")
+def judged(spark, texts):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *TEXTS])], "doc_id long, text string")
+    got = find_personal_data(frame).withColumn("clean", redacted("text", "pii"))
+    return {row.doc_id: row for row in got.collect()}
+
+
+def test_base_spans(judged):
+    for row in judged.values():
+        base = [f"{s.kind}:{s.start}:{s.stop}" for s in row.pii if s.rank < 4]
+        assert base == plain_spans(row.text)
+        assert all(0 <= s.start < s.stop <= len(row.text) and 0 <= s.score <= 1 for s in row.pii)
+        assert [(s.start, s.rank) for s in row.pii] == sorted((s.start, s.rank) for s in row.pii)
+
+
+def test_further_kinds(judged):
+    of = lambda part: {(s.kind, row.text[s.start : s.stop]) for row in judged.values() if row.text and row.text.startswith(part) for s in row.pii if s.rank > 3}
+    assert of("IBAN DE89") == {("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB82WEST12345698765432")}
+    assert ("ssn", "123-45-6789") in of("token = ") and any(kind == "secret" for kind, _ in of("token = "))
+    assert of("born") == {("birth", "1999-12-31")}
+
+
+def test_redaction(judged):
+    for row in judged.values():
+        if row.text is None:
+            assert row.clean is None
+            continue
+        at, out = 0, ""
+        for s in row.pii:
+            if s.start >= at:
+                out += row.text[at : s.start] + f"[{s.kind.upper()}]"
+            at = max(at, s.stop)
+        assert row.clean == out + row.text[at:]
+
+
+@hypothesis_settings(max_examples=8, deadline=None)
+@given(texts=st.lists(st.text(st.sampled_from("ab1409.@_%+-() \né😀"), max_size=60), min_size=100, max_size=200))
+def test_any_text(spark, texts):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for row in find_personal_data(frame).collect():
+        assert [f"{s.kind}:{s.start}:{s.stop}" for s in row.pii if s.rank < 4] == plain_spans(row.text)
+
+
+def test_query(spark):
+    frame = entry_points.queries()["op7_personal_data"](spark, SF)
+    assert not re.search("Python|Arrow|Pandas", plan(frame))
+    texts = {row.doc_id: row.text for row in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = frame.collect()
+    assert len(got) == len(texts)
+    for row in got:
+        base = plain_spans(texts[row.doc_id])
+        assert row.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [sum(s.startswith(f"{kind}:") for s in base) for kind in BASE] == [row.n_email, row.n_ip, row.n_card, row.n_phone]
+        assert set(base) <= set(row.spans.split(",")) or not base
+
+
+def test_awkward_rows(awkward, nothing):
+    assert find_personal_data(awkward).count() == awkward.count() and find_personal_data(nothing).count() == 0
