@@ -15,20 +15,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
-# Pieces a worker remembers; beyond it the memory is emptied, which costs time and changes no result.
-REMEMBERED = 250_000
+# Pieces a worker remembers. Beyond it those used once since the last time are dropped, which costs
+# time and changes no result.
+REMEMBERED = 400_000
+# Unknown pieces that are encoded in one call, told apart by a separator.
+_AT_ONCE = 200
 
-_UNSAFE = re.compile(r"^ |\s | \s| $")
+# White space beside a blank makes the cut after it unsafe.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+_RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def byte_pieces(text: str) -> list[str]:
     """Pieces of the byte-level vocabulary. A leading blank marks the first one, all others stand
     after a blank."""
-    pieces = _SAFE.split(text) if _UNSAFE.search(text) else text.split(" ")
+    simple = not ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE_SPACE.search(text))
+    pieces = text.split(" ") if simple else _SAFE.split(text)
     pieces[0] = " " + pieces[0]
     return pieces
 
@@ -43,6 +49,19 @@ def word_pieces(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+class _Pieces(dict):
+    """Numbers of pieces in order of first sight; new ones wait in ``fresh``."""
+
+    def __init__(self, pieces=()) -> None:
+        super().__init__(zip(pieces, range(len(pieces))))
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.fresh.append(piece)
+        return number
+
+
 class Encoder:
     """Ids of whole texts, each followed by ``end``."""
 
@@ -52,45 +71,103 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces: Callable[[str], list[str]] = byte_pieces if kind == "byte" else word_pieces
         self.chunk: Callable[[str], str] = byte_chunk if kind == "byte" else str
+        self.kind = kind
+        # Cuts the text around it and has one id.
+        self.separator = "<|endoftext|>" if kind == "byte" else " \x01 "
+        self.separator_id = self._ids([self.separator])[0][0]
+        # Whether an id begins (byte) or ends (word) what a plain piece stands for.
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[n for token, n in vocabulary.items() if (token.startswith("Ġ") if kind == "byte" else token.endswith("</w>"))]] = True
         self.end = end
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {"\0end": 0}  # no piece of a text: it is never looked up by text
-        self.flat, self.used = np.array([self.end], np.int32), 1
-        self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast([self.chunk(piece) for piece in pieces], add_special_tokens=False)
-        ids = [one.ids for one in encoded]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        fresh = np.fromiter((i for one in ids for i in one), np.int32, int(sizes.sum()))
-        self.known.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(pieces))))
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+        # Number 0 is the end; a tuple, since any string may be a piece.
+        self.known = _Pieces([("end",)])
+        self.flat, self.starts, self.sizes = np.array([self.end], np.int32), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.uses = np.full(1, 2, np.int64)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, chunk: str) -> bool:
+        """Whether the ids of joined chunks show by themselves where one begins or ends: the only blank
+        leads a byte chunk, a word chunk is letters alone."""
+        if self.kind == "byte":
+            return chunk.count(" ") == 1 and chunk[0] == " " and len(chunk) > 1 and not (chunk[1].isspace() or chunk[-1].isspace())
+        return chunk.isascii() and chunk.isalpha()
+
+    def _joined(self, chunks: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that are encoded many at once, and how many each has."""
+        between = ("" if self.kind == "byte" else " ") if plain else self.separator
+        calls = self._ids([between.join(chunks[k : k + _AT_ONCE]) for k in range(0, len(chunks), _AT_ONCE)])
+        if not plain:
+            ids = np.fromiter(chain.from_iterable(chain((self.separator_id,), one) for one in calls), np.int32)
+            places = np.flatnonzero(ids == self.separator_id)  # one before each chunk
+            return np.delete(ids, places), np.diff(np.append(places, len(ids))) - 1
+        ids = np.fromiter(chain.from_iterable(calls), np.int32)
+        places = np.flatnonzero(self.edge[ids])
+        return ids, np.diff(np.append(places, len(ids))) if self.kind == "byte" else np.diff(places, prepend=-1)
+
+    def _learn(self) -> None:
+        pieces, self.known.fresh = self.known.fresh, []
+        chunks = [self.chunk(piece) for piece in pieces]
+        mark = self.separator.strip()
+        kinds = np.array([0 if self._plain(one) else 1 if mark not in one else 2 for one in chunks], np.int8)
+        parts, end = [self.flat], len(self.flat)
+        starts, sizes = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        for kind in range(3):
+            chosen = np.flatnonzero(kinds == kind)
+            if not len(chosen):
+                continue
+            these = [chunks[k] for k in chosen.tolist()]
+            if kind < 2:
+                ids, lengths = self._joined(these, kind == 0)
+            else:  # the separator itself occurs: one by one
+                found = self._ids(these)
+                ids, lengths = np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64)
+            sizes[chosen], starts[chosen] = lengths, end + np.cumsum(lengths) - lengths
+            parts.append(ids)
+            end += len(ids)
+        self.flat = np.concatenate(parts)
+        self.starts = np.concatenate([self.starts, starts])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, fresh])
-        self.used += len(fresh)
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int64)])
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered pieces in a row, and where each piece's ids end."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        return self.flat[places + np.arange(len(places))], ends
+
+    def _trim(self) -> None:
+        kept = np.flatnonzero(self.uses > 1)
+        if 2 * len(kept) > REMEMBERED:
+            return self._forget()
+        self.flat, ends = self._gather(kept)
+        self.sizes = self.sizes[kept]
+        self.starts, self.uses = ends - self.sizes, np.zeros(len(kept), np.int64)
+        self.uses[0] = 2
+        pieces = list(self.known)
+        self.known = _Pieces([pieces[k] for k in kept.tolist()])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text's ids begin (one more than texts)."""
         if len(self.known) > REMEMBERED:
-            self._forget()
+            self._trim()
         cut = [self.pieces(text) if text else [] for text in texts]
-        fresh = set().union(*cut)
-        fresh.difference_update(self.known)
-        if fresh:
-            self._learn(sorted(fresh))
-        look = self.known.__getitem__
         counts = np.fromiter((len(one) + 1 for one in cut), np.int64, len(cut))
         lasts = np.cumsum(counts) - 1
-        found = np.zeros(int(counts.sum()), np.int64)  # 0 is the end id
-        inner = np.ones(len(found), bool)
+        inner = np.ones(int(counts.sum()), bool)
         inner[lasts] = False
-        found[inner] = np.fromiter((look(p) for one in cut for p in one), np.int64, int(inner.sum()))
-        sizes = self.sizes[found]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[found] - (ends - sizes), sizes) + np.arange(total)]
+        found = np.zeros(len(inner), np.int64)
+        found[inner] = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(inner.sum()))
+        if self.known.fresh:
+            self._learn()
+        self.uses += np.bincount(found, minlength=len(self.uses))
+        ids, ends = self._gather(found)
         return ids, np.concatenate([[0], ends[lasts]]) if len(cut) else np.zeros(1, np.int64)
 
 
@@ -105,7 +182,7 @@ def encoder(path: str, kind: str, end: int) -> Encoder:
     return _encoders[key]
 
 
-def batches_of(texts: list[str | None], size: int = 4_000_000):
+def batches_of(texts: list[str | None], size: int = 1_000_000):
     """Ranges of texts of about ``size`` characters, so that one long text does not swell others."""
     start, held = 0, 0
     for at, text in enumerate(texts):
