@@ -62,6 +62,13 @@ def test_banner_over_many_blocks(spark, tmp_path):
     assert [int(row.id) for row in ordered] == list(range(20000))
 
 
+def test_values_far_beyond_the_header_stop_the_job(spark, tmp_path):
+    for text in ("a,b\n1,2,,x\n", "a,b\n1,2,,\n"):
+        with pytest.raises(Exception, match="MALFORMED_CSV_RECORD"):
+            f.read_text_export(spark, write(tmp_path / "a.csv", text)).collect()
+    assert rows(f.read_text_export(spark, write(tmp_path / "a.csv", "a,b\n1,2,\n3\n"))) == [("1", "2"), ("3", None)]
+
+
 def test_headers_after_rename_and_drop(spark, tmp_path):
     path = write(tmp_path / "a.csv", "a,b,c\n1,2,3\n")
     assert f.source_headers(spark, path, rename={"a": "x.y"}, drop=["c"]) == ["x.y", "b"]

@@ -31,7 +31,9 @@ FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-10"
 # Date shapes tried in turn when no format is declared. No text fits two.
 MIXED_DATE_FORMATS = (
     "%m/%d/%Y", "%Y%m%d", "%Y-%m-%d", "%m/%d/%Y %I:%M:%S %p", "%m/%d/%Y %H:%M:%S",
-    "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S",
+    "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y/%m/%d", "%m/%d/%y", "%m-%d-%Y", "%m/%d/%Y %H:%M", "%m/%d/%Y %I:%M %p",
+    "%Y/%m/%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S.%f", "%m/%d/%Y %H:%M:%S.%f",
+    "%b %d, %Y", "%B %d, %Y", "%b %d %Y", "%d %b %Y", "%d %B %Y", "%d-%b-%Y",
 )
 
 # Every character Python's str.strip() removes; Spark's one-argument trim removes spaces only.
@@ -85,15 +87,25 @@ def _fits_shape(c: Column, fmt: str) -> Column:
     """
     halves = F.substring(c, -1, 1).isin("M", "m")
     fits = halves if "%p" in fmt else ~halves
-    for separator in "/-:T":
+    named = c.rlike("[A-Za-z]{3}")
+    fits = fits & (named if "%b" in fmt or "%B" in fmt else ~named)
+    for separator in "/-:T.":
         found = c.contains(separator)
         fits = fits & (found if separator in re.sub(r"%.", "", fmt) else ~found)
     return fits
 
 
+def _attempt(c: Column, fmt: str) -> Column:
+    """A value read by one format. Years of two digits from 69 on belong to the last century."""
+    stamp = F.try_to_timestamp(c, F.lit(spark_pattern(fmt)))
+    if "%y" not in fmt:
+        return stamp
+    return F.when(F.year(stamp) >= 2069, F.add_months(stamp, -1200).cast("timestamp")).otherwise(stamp)
+
+
 def parse_stamp(c: Column, formats: Sequence[str]) -> Column:
     """The first format that reads the value, as a zone-less timestamp; else NULL."""
-    tries = [F.try_to_timestamp(c, F.lit(spark_pattern(fmt))) for fmt in formats]
+    tries = [_attempt(c, fmt) for fmt in formats]
     if len(formats) > 1:
         tries = [F.when(_fits_shape(c, fmt), attempt) for fmt, attempt in zip(formats, tries)]
     stamp = F.coalesce(*tries).cast(T.TimestampNTZType())

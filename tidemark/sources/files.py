@@ -77,9 +77,12 @@ def read_text_export(
         # The CSV reader leaves out blank lines and takes the first line as the header; what is left
         # of banner and header are the rows it would give first.
         extra = sum(1 for line in lead if line.strip()) - 1
+        widest = max(line.count(options.get("sep", ",")) + 1 for line in lead)
     else:
-        extra = 0
+        extra = widest = 0
         names = _reader(spark, options).option("header", True).csv(path).columns
+    # One value more is looked at below (a row may end in a separator); the parser itself stops at further ones.
+    options.setdefault("maxColumns", str(max(len(names) + 1, widest)))
     frame = _reader(spark, options).schema(text_schema([*names, _BEYOND])).option("header", True).csv(path)
     fits = F.when(F.col(_BEYOND).isNull(), True).otherwise(
         F.raise_error(F.concat(F.lit(f"row has more than {len(names)} values, from: "), F.col(_BEYOND)))
