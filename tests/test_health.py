@@ -83,11 +83,11 @@ def test_rerun(log, roster):
 
 def test_issue_rows_keep_whole_groups_in_report_order(log):
     latest = h.latest_rows(log, F.col("n"))
-    got = h.issue_rows(latest, h.process_status(latest), {"s2": "O2", "s1": "PRIME"}).orderBy(*h.report_order()).collect()
+    got = h.issue_rows(latest, h.process_status(latest), {"s2": "Backup", "s1": "Main"}).orderBy(*h.report_order()).collect()
     assert [(r.ProcessName, r.Connection, r.TargetTableType, r.Error) for r in got] == [
-        ("Items", "O2", "PRD", "—"), ("Items", "PRIME", "STG", "—"), ("Items", "PRIME", "PRD", "PK VIOLATION"),
-        ("Lines", "PRIME", "STG", "z"), ("Orders", "PRIME", "STG", "x y"),
-        ("Feed", "PRIME", "STG", "—"), ("Post", "PRIME", "PROC", "—"),
+        ("Items", "Backup", "PRD", "—"), ("Items", "Main", "STG", "—"), ("Items", "Main", "PRD", "PK VIOLATION"),
+        ("Lines", "Main", "STG", "z"), ("Orders", "Main", "STG", "x y"),
+        ("Feed", "Main", "STG", "—"), ("Post", "Main", "PROC", "—"),
     ]
 
 

@@ -31,11 +31,11 @@ def test_report_of_a_day(spark, log):
         [("Items", "items", False, ["daily"]), ("Orders", "orders", False, None), ("Idle", "idle", False, []), ("Adhoc", "adhoc", False, ["on-demand"])],
         "ProcessName string, ConfigName string, IsPostProcess boolean, Tags array<string>",
     )
-    report = daily_report(log, roster, AT.date(), {"s1": "PRIME"})
+    report = daily_report(log, roster, AT.date(), {"s1": "Main"})
     assert report.summary.first().headline == "1/3 failed; 0/3 skipped; 1/3 succeeded; 1/3 not run for 2026-07-28"
     assert rows(report.not_run) == [("Idle",)]
     assert [(r.ProcessName, r.TargetTableType, r.Connection, r.Error) for r in report.issues.collect()] == [
-        ("Items", "STG", "PRIME", "—"), ("Items", "PRD", "PRIME", "PK VIOLATION"),
+        ("Items", "STG", "Main", "—"), ("Items", "PRD", "Main", "PK VIOLATION"),
     ]
     assert rows(report.reruns, "Action", "Targets") == [("prd-only", "items")]
     assert rows(report.failed_logs, "LogFilePath") == [("/l/items",)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
@@ -82,24 +82,23 @@ def fill_text_blanks(frame: DataFrame) -> DataFrame:
     )
 
 
+def projection(mapping: Sequence[MapRow], have: Sequence[str], sink_types: bool = True) -> list[Column]:
+    """Compile mapping rows to the columns of a projection: renamed, constant, or NULL."""
+    loaded = [row for row in mapping if row.destination and row.type != "ignore"]
+    unread = {row.source for row in loaded if not row.has_value and row.source is not None} - set(have)
+    if unread:
+        raise ValueError(f"the frame lacks columns that the mapping reads: {sorted(unread)}")
+
+    def compiled(row: MapRow) -> Column:
+        value = F.lit(row.value) if row.has_value else F.lit(None).cast("string") if row.source is None else col(row.source)
+        return (fit_sql_type(row.destination, value, row.sql_type) if sink_types else value).alias(row.destination)
+
+    return [compiled(row) for row in loaded]
+
+
 def map_columns(frame: DataFrame, mapping: Sequence[MapRow], sink_types: bool = True) -> DataFrame:
-    """Project source columns to destination columns: renamed, constant, or NULL."""
-    columns = []
-    for row in mapping:
-        if not row.destination or row.type == "ignore":
-            continue
-        if row.has_value:
-            value = F.lit(row.value)
-        elif row.source is None:
-            value = F.lit(None).cast("string")
-        elif row.source not in frame.columns:
-            raise ValueError(f"mapping reads column {row.source!r}, which the frame lacks")
-        else:
-            value = col(row.source)
-        if sink_types:
-            value = fit_sql_type(row.destination, value, row.sql_type)
-        columns.append(value.alias(row.destination))
-    return frame.select(*columns)
+    """Project source columns to destination columns, see :func:`projection`."""
+    return frame.select(*projection(mapping, frame.columns, sink_types))
 
 
 def align(
@@ -114,19 +113,16 @@ def align(
     Mapped frames may leave table columns out but not bring unknown ones. Unmapped frames must
     bring every table column (or get NULL with ``allow_missing``); their extra ones drop out.
     """
-    have, table = frame.columns, list(table_columns)
-    if mapped:
-        unknown = [name for name in have if name not in table]
-        if unknown:
-            raise ValueError(f"table has no column(s) named {unknown}")
-        return frame.select(*as_columns([name for name in table if name in have]))
-    missing = [name for name in table if name not in have]
-    if missing and not allow_missing:
-        raise ValueError(f"frame lacks table column(s) {missing}")
-    extra = [name for name in have if name not in table]
-    if extra:
-        log.info("columns left out, not in the table: %s", extra)
-    return frame.select(*(col(name) if name in have else F.lit(None).alias(name) for name in table))
+    brought, asked = dict.fromkeys(frame.columns), dict.fromkeys(table_columns)
+    beyond, short = brought.keys() - asked.keys(), asked.keys() - brought.keys()
+    if mapped and beyond:
+        raise ValueError(f"the table has no column(s) {sorted(beyond)}")
+    if short and not (mapped or allow_missing):
+        raise ValueError(f"the frame lacks the table's column(s) {sorted(short)}")
+    if beyond:
+        log.info("not loaded, since the table has no such column: %s", sorted(beyond))
+    taken = [name for name in asked if name in brought or not mapped]
+    return frame.select(*(F.lit(None).alias(name) if name in short else col(name) for name in taken))
 
 
 def relabel(frame: DataFrame, names: Sequence[str]) -> DataFrame:

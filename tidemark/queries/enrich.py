@@ -224,7 +224,7 @@ SELECT event_id,
   CASE WHEN event_type = 'error' THEN NULL ELSE 'own.job_' || event_type END AS object_name,
   CASE event_type WHEN 'click' THEN '[db].[home].[click]' WHEN 'view' THEN '[db].[own].[view]' WHEN 'signup' THEN '[x].[own].[a]]b]'
        ELSE '[b].[c].[d]' END AS qualified,
-  CASE WHEN value > 20 THEN 'PRIME' WHEN event_type = 'click' THEN '—' ELSE event_type END AS connection,
+  CASE WHEN value > 20 THEN 'Main' WHEN event_type = 'click' THEN '—' ELSE event_type END AS connection,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_run,
   event_type IN ('click', 'view') AS truthy,
   substr('a b ' || event_type || ' ' || props, 1, 11) || '…' AS cut
@@ -253,7 +253,7 @@ def health_texts(spark, sf_dir):
         health_text.staging_names(target, staging, extra).alias("staging_tables"),
         health_text.exec_object(statement).alias("object_name"),
         health_text.qualified_object(raw, F.lit("db"), F.lit("home")).alias("qualified"),
-        health_text.connection_label(server, {"srv1": "PRIME"}).alias("connection"),
+        health_text.connection_label(server, {"srv1": "Main"}).alias("connection"),
         health_text.last_run_text(F.col("ts")).alias("last_run"),
         is_truthy(F.when(kind == "click", " YES").when(kind == "view", "1").when(kind == "signup", "no")).alias("truthy"),
         one_line(F.concat(F.lit(" a \t b\n"), kind, F.lit("  "), "props"), 12).alias("cut"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import health
 from tidemark.queries.base import query, table
 
-LABELS = {"srv1": "PRIME", "srv2": "O2"}
+LABELS = {"srv1": "Main", "srv2": "Backup"}
 
 LOG_SQL = """
 WITH log AS (
@@ -151,7 +151,7 @@ def rerun_groups(spark, sf_dir):
     LOG_SQL
     + """SELECT l.day, CASE st WHEN 'FAILED' THEN 0 WHEN 'FILE_NOT_FOUND' THEN 1 ELSE 2 END AS "ProcessRank", l.p AS "ProcessName",
   CASE c WHEN 'srv1' THEN 0 ELSE 1 END AS "ConnectionRank", CASE t WHEN 'STG' THEN 0 ELSE 1 END AS "TypeRank", s AS "TaskStatus",
-  CASE c WHEN 'srv1' THEN 'PRIME' ELSE 'O2' END AS "Connection", t AS "TargetTableType", strftime(run, '%Y-%m-%d %H:%M:%S') AS "LastRun",
+  CASE c WHEN 'srv1' THEN 'Main' ELSE 'Backup' END AS "Connection", t AS "TargetTableType", strftime(run, '%Y-%m-%d %H:%M:%S') AS "LastRun",
   CASE WHEN s <> 'SUCCESS' THEN replace(err, '  ', ' ') ELSE '—' END AS "Error"
 FROM latest l JOIN status USING (day, p) WHERE st <> 'SUCCESS'"""
 )
