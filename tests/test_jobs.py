@@ -10,8 +10,8 @@ from tests.helpers import plan, rows
 from tidemark.operators.archive import daily_rows, rearchive, window_dates, write_archive
 from tidemark.operators.backfill import copy_prod_table, copy_table, copyable_tables, shared_columns
 from tidemark.operators.search_terms import search_terms
-from tidemark.plans.spec import Destination, LoadSpec, SourceFile, TableRef
-from tidemark.sources.tables import Table
+from tidemark.plans.spec import Destination, LoadSpec, Promotion, SourceFile, TableRef
+from tidemark.sources.tables import PartitionedTable, Table
 
 VIEW = "`Item Group` string, Item string, RefSearch string, ItemSearch string, Date string, o int"
 
@@ -56,11 +56,11 @@ def test_archive_is_idempotent_and_takes_late_rows(spark, tmp_path):
     first = events(spark, (1, "2026-03-01T10:00:00"), (2, "2026-03-03T00:00:00"), (9, "2026-02-01T00:00:00"))
     assert write_archive(first, "ts", path, end, 2) == {dt.date(2026, 3, 1): 1, dt.date(2026, 3, 2): 0, dt.date(2026, 3, 3): 1}
     write_archive(first, "ts", path, end, 2)
-    assert rows(spark.read.parquet(path), "n") == [(1,), (2,)]
+    assert rows(PartitionedTable(spark, path, ["ArchiveDate"]).read(), "n") == [(1,), (2,)]
     later = events(spark, (3, "2026-03-02T23:59:59.999"), (4, "2026-03-04T00:00:00"))
     write_archive(later, "ts", path, end, 1)
     # The 3rd has no rows any more; the 1st is outside the window.
-    assert rows(spark.read.parquet(path), "n") == [(1,), (3,)]
+    assert rows(PartitionedTable(spark, path, ["ArchiveDate"]).read(), "n") == [(1,), (3,)]
 
 
 def test_rearchive_as_frames(spark):
@@ -107,7 +107,7 @@ def test_copy_between_destinations(spark, tmp_path):
 
     one = side("des1", aux_prod={"stat": TableRef(str(tmp_path / "x1"))})
     two = side("des2", aux_prod={"stat": TableRef(str(tmp_path / "x2"))})
-    spec = LoadSpec("l", "L", (SourceFile("f", "*"),), (one, two))
+    spec = LoadSpec("l", "L", (SourceFile("f", "*"),), (one, two), promotions=(Promotion("stat"),))
     assert copyable_tables(spec) == ["main", "stat"]
     Table(spark, one.prod.path).overwrite(spark.createDataFrame([(1,)], "k int"))
     Table(spark, two.prod.path).overwrite(spark.createDataFrame([], "k int"))

@@ -3,11 +3,14 @@
 import datetime as dt
 
 import pytest
+from hypothesis import given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows, values
 from tidemark.operators import promote as pr
-from tidemark.sources.tables import read_partitioned
+from tidemark.sources.tables import PartialLoadError, PartitionedTable
 
 SCHEMA = "h string, n int, q double, s date"
 D1, D2, D3 = dt.date(2026, 1, 1), dt.date(2026, 1, 2), dt.date(2026, 1, 3)
@@ -43,7 +46,7 @@ def test_delete_insert_matches_null_keys_and_is_idempotent(prod, stg):
 def test_counted_small_staging_gives_the_same_rows(prod, stg):
     for strategy in ("pk_merge", "pk_delete_insert", "pk_delete_insert_on_header", "versioned_delete_insert"):
         options = dict(keys=KEY, header_key=["h"], stamps=["s"])
-        assert rows(pr.promote(prod, stg, strategy, rows=4, **options)) == rows(pr.promote(prod, stg, strategy, **options))
+        assert rows(pr.promote(prod, stg, strategy, **options)) == rows(pr.promote(prod, stg, strategy, **options))
 
 
 def test_header_replaces_whole_headers_and_leaves_others(prod, stg):
@@ -124,16 +127,74 @@ def test_lifecycle_and_snapshot(spark):
     assert rows(later) == rows(stats)  # nothing is stamped on or after the 3rd
 
 
+TYPES = "h string, n int, q double"
+
+
+def kept_by(spark, path, held, by=("h",)):
+    table = PartitionedTable(spark, str(path), by)
+    table.overwrite(spark.createDataFrame(held, TYPES))
+    return table
+
+
+def replace_rows(spark, table, staged):
+    stg = spark.createDataFrame(staged, TYPES)
+    pr.rewrite_partitions(table, stg, lambda prod: pr.promote(prod, stg, "pk_delete_insert", keys=KEY))
+
+
 def test_rewrite_touches_only_the_partitions_of_staging(spark, tmp_path):
-    path = str(tmp_path / "t")
-    history = spark.createDataFrame([("A", 1, 1.0), ("A", 2, 2.0), ("B", 1, 3.0)], "h string, n int, q double")
-    history.write.partitionBy("h").parquet(path)
-    before = {file: file.stat().st_mtime_ns for file in (tmp_path / "t" / "h=B").glob("*.parquet")}
-    stg = spark.createDataFrame([("A", 1, 7.0), ("C", 1, 8.0)], "h string, n int, q double")
-    pr.rewrite_partitions(path, stg, ["h"], lambda prod: pr.promote(prod, stg, "pk_delete_insert", keys=KEY))
-    got = spark.read.parquet(path).select("h", "n", "q")
-    assert rows(got) == [("A", 1, 7.0), ("A", 2, 2.0), ("B", 1, 3.0), ("C", 1, 8.0)]
-    assert before == {file: file.stat().st_mtime_ns for file in (tmp_path / "t" / "h=B").glob("*.parquet")}
+    table = kept_by(spark, tmp_path / "t", [("A", 1, 1.0), ("A", 2, 2.0), ("B", 1, 3.0)])
+    before = {name: rows for name, rows in table.part_rows().items()}
+    replace_rows(spark, table, [("A", 1, 7.0), ("C", 1, 8.0)])
+    assert rows(table.read(), "h", "n", "q") == [("A", 1, 7.0), ("A", 2, 2.0), ("B", 1, 3.0), ("C", 1, 8.0)]
+    assert len(table.part_rows()) == 3 and before.items() <= table.part_rows().items()
+    # The untouched partition is read from where the first write put it.
+    assert sum("v00000001" in name for name in table.read().inputFiles()) == 1
+
+
+@pytest.mark.parametrize("by", [["h"], ["h", "n"]])
+def test_blank_missing_and_number_like_values_are_partitions_of_their_own(spark, tmp_path, by):
+    held = [("", 1, 1.0), (None, 1, 2.0), ("01", 1, 3.0), ("1", 1, 4.0), ("", 2, 5.0), (None, 2, 6.0), ("null", 1, 7.0), ("a/b=c", 1, 8.0)]
+    table = kept_by(spark, tmp_path / "t", held, by)
+    assert rows(table.read(), "h", "n", "q") == sorted(held, key=repr)
+    replace_rows(spark, table, [("", 1, -1.0), (None, 1, -2.0), ("1", 1, -4.0)])
+    changed = {("", 1): -1.0, (None, 1): -2.0, ("1", 1): -4.0}
+    assert rows(table.read(), "h", "n", "q") == sorted(((h, n, changed.get((h, n), q)) for h, n, q in held), key=repr)
+    assert table.count() == 8
+
+
+@hypothesis_settings(max_examples=4, deadline=None)
+@given(
+    held=st.dictionaries(st.tuples(st.sampled_from(["", None, "01", "1", "x"]), st.integers(1, 3)), st.floats(0, 9), min_size=1, max_size=8),
+    staged=st.dictionaries(st.tuples(st.sampled_from(["", None, "01", "1", "x"]), st.integers(1, 3)), st.floats(0, 9), min_size=1, max_size=5),
+)
+def test_random_partitions(spark, tmp_path_factory, held, staged):
+    table = kept_by(spark, tmp_path_factory.mktemp("p"), [(*key, q) for key, q in held.items()])
+    replace_rows(spark, table, [(*key, q) for key, q in staged.items()])
+    assert rows(table.read(), "h", "n", "q") == sorted(((*key, q) for key, q in {**held, **staged}.items()), key=repr)
+
+
+def test_a_write_that_dies_leaves_the_old_state(spark, tmp_path):
+    table = kept_by(spark, tmp_path / "t", [("A", 1, 1.0), ("", 1, 2.0)])
+    boom = spark.createDataFrame([("A", 1, 5.0)], TYPES).selectExpr("h", "n", "if(n = 1, raise_error('boom'), q) AS q")
+    with pytest.raises(Exception, match="boom"):
+        table.overwrite(boom.selectExpr("h", "n", "cast(q as double) q"), table.named(boom))
+    assert rows(table.read(), "h", "n", "q") == [("", 1, 2.0), ("A", 1, 1.0)]
+    # A first load that dies leaves no table, and the next one starts anew over the left-over folder.
+    fresh = PartitionedTable(spark, str(tmp_path / "fresh"), ["h"])
+    (tmp_path / "fresh" / "v00000001" / "_temporary").mkdir(parents=True)
+    assert fresh.read() is None
+    assert fresh.overwrite(spark.createDataFrame([], TYPES)) == 0
+    assert fresh.read().columns == ["h", "n", "q"] and fresh.count() == 0
+
+
+def test_a_partition_can_become_empty_and_strays_are_refused(spark, tmp_path):
+    table = kept_by(spark, tmp_path / "t", [("A", 1, 1.0), ("B", 1, 2.0)])
+    gone = spark.createDataFrame([("A", 1, 0.0)], TYPES)
+    table.overwrite(gone.where("false"), table.named(gone))
+    assert rows(table.read(), "h") == [("B",)]
+    with pytest.raises(ValueError, match="not among those"):
+        table.overwrite(spark.createDataFrame([("C", 1, 0.0)], TYPES), table.named(gone))
+    assert issubclass(PartialLoadError, RuntimeError)
 
 
 def test_partitioning_must_be_part_of_the_key():
@@ -144,52 +205,19 @@ def test_partitioning_must_be_part_of_the_key():
         pr.check_partitioning("truncate_insert", ["h"], KEY, [])
 
 
-def test_small_staging_does_not_shuffle_production(spark, tmp_path):
+def test_staging_is_sized_by_the_engine(spark, tmp_path):
     path = str(tmp_path / "prod")
     spark.range(1000).selectExpr("string(id) h", "int(id) n", "double(id) q", "current_date() s").write.parquet(path)
     prod = spark.read.parquet(path)
-    stg = prod.where("n < 10")
-    text = plan(pr.promote(prod, stg, "pk_delete_insert", keys=KEY, rows=10))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "Cartesian" not in text
-    assert text.count("Exchange hashpartitioning") == 1  # the distinct staging keys only
-
-
-def test_large_staging_falls_back_to_a_shuffled_join(spark, tmp_path):
-    path = str(tmp_path / "prod")
-    spark.range(1000).selectExpr("string(id) h", "int(id) n", "double(id) q", "current_date() s").write.parquet(path)
-    prod = spark.read.parquet(path)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    small = plan(pr.promote(prod, prod.where("n < 10"), "pk_delete_insert", keys=KEY))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small and "Cartesian" not in small
+    assert small.count("Exchange hashpartitioning") == 1  # the distinct staging keys only
+    # Wide keys: as many rows, but more bytes than the limit.
+    wide = prod.withColumn("h", F.concat("h", F.expr("repeat('x', 2000)")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
     try:
-        text = plan(pr.promote(prod, prod, "pk_delete_insert", keys=KEY, rows=pr.SMALL_ROWS + 1))
+        text = plan(pr.promote(wide, wide, "pk_delete_insert", keys=KEY))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "Broadcast" not in text
     assert values(pr.promote(prod, prod, "pk_delete_insert", keys=KEY).selectExpr("count(*)")) == [1000]
-
-
-@pytest.mark.parametrize("partition_by", [["h"], ["h", "n"]])
-def test_touched_partitions_prune_the_scan(spark, tmp_path, partition_by):
-    path = str(tmp_path / "t")
-    spark.createDataFrame([("A", 1, 1.0), ("B", 1, 3.0), (None, 2, 4.0)], "h string, n int, q double").write.partitionBy(*partition_by).parquet(path)
-    stg = spark.createDataFrame([("A", 1, 7.0), (None, 2, 8.0)], "h string, n int, q double")
-    touched = pr.touched_partitions(spark.read.parquet(path), stg, partition_by)
-    assert rows(touched, "h", "q") == [("A", 1.0), (None, 4.0)]
-    assert "PartitionFilters: [(" in plan(touched) and "A" in plan(touched).split("PartitionFilters: ")[1].split("]")[0]
-
-
-def test_many_touched_partitions_use_a_join(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    spark.createDataFrame([("A", 1), ("B", 1), ("C", 1)], "h string, n int").write.partitionBy("h").parquet(path)
-    stg = spark.createDataFrame([("A", 1), ("B", 2)], "h string, n int")
-    monkeypatch.setattr(pr, "MAX_NAMED_PARTITIONS", 1)
-    assert rows(pr.touched_partitions(spark.read.parquet(path), stg, ["h"]), "h") == [("A",), ("B",)]
-
-
-def test_number_like_partition_values_keep_their_type(spark, tmp_path):
-    path = str(tmp_path / "t")
-    history = [("01", 1, 1.0), ("01", 2, 5.0), ("1", 1, 2.0), ("1", 3, 6.0)]
-    spark.createDataFrame(history, "h string, n int, q double").write.partitionBy("h").parquet(path)
-    stg = spark.createDataFrame([("1", 1, 9.0)], "h string, n int, q double")
-    pr.rewrite_partitions(path, stg, ["h"], lambda prod: pr.promote(prod, stg, "pk_delete_insert", keys=KEY))
-    got = read_partitioned(spark, path, stg.select("h").schema)
-    assert rows(got, "h", "n", "q") == [("01", 1, 1.0), ("01", 2, 5.0), ("1", 1, 9.0), ("1", 3, 6.0)]

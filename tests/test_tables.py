@@ -41,14 +41,6 @@ def test_partial_load_is_refused(spark, tmp_path, monkeypatch):
     assert rows(table.read()) == [(1,)]
 
 
-def test_overwrite_partition_empties(spark, tmp_path):
-    path = str(tmp_path / "p")
-    assert t.overwrite_partition(frame(spark, 1).selectExpr("k", "'x' AS d"), path, {"d": "x"}) == 1
-    assert t.overwrite_partition(frame(spark, 2).selectExpr("k", "'y' AS d"), path, {"d": "y"}) == 1
-    assert t.overwrite_partition(frame(spark).selectExpr("k", "'x' AS d"), path, {"d": "x"}) == 0
-    assert rows(spark.read.parquet(path), "k", "d") == [(2, "y")]
-
-
 def test_reads(spark, tmp_path):
     path = str(tmp_path / "r")
     spark.createDataFrame([(1, "a")], "`x.y` int, z string").write.parquet(path)

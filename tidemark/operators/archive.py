@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
-from tidemark.sources.tables import overwrite_partition
+from tidemark.sources.tables import PartitionedTable
 
 
 def window_dates(end: dt.date, backfill_days: int) -> list[dt.date]:
@@ -39,11 +39,11 @@ def rearchive(archive: DataFrame | None, source: DataFrame, stamp: str, end: dt.
 
 
 def write_archive(source: DataFrame, stamp: str, path: str, end: dt.date, backfill_days: int) -> dict[dt.date, int]:
-    """Replace one partition per date of the window, oldest first. Other dates are not read or
-    touched; a run that dies part-way leaves the finished dates archived. A date without rows
-    ends up empty."""
-    done = {}
-    for day in window_dates(end, backfill_days):
-        rows = daily_rows(source, stamp, day, day)
-        done[day] = overwrite_partition(rows, path, {"ArchiveDate": day.isoformat()})
-    return done
+    """Replace the dates of the window, all in one commit; other dates are not read or touched. A run
+    that dies leaves the archive as it was, and a date without rows ends up empty."""
+    spark, dates = source.sparkSession, window_dates(end, backfill_days)
+    archive = PartitionedTable(spark, path, ["ArchiveDate"])
+    days = archive.parts_of(spark.createDataFrame([(day,) for day in dates], "ArchiveDate date"))
+    parts = {row[-1]: row.ArchiveDate for row in days.collect()}
+    archive.overwrite(daily_rows(source, stamp, dates[0], dates[-1]), list(parts))
+    return dict(sorted((parts[name], rows) for name, rows in archive.part_rows().items() if name in parts))

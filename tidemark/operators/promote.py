@@ -2,11 +2,9 @@
 
 Every function takes the production frame and the staging frame and returns the next
 production frame; nothing is written here. Staging is a window of changes and production is
-the long history, so no plan shuffles production when staging is small: production meets
-staging through semi, anti and left joins with production on the streamed side, and Spark
-broadcasts the staging keys when their size allows it: by its own estimate, or because the
-number of staged rows was counted when they were written (:data:`SMALL_ROWS`). Beyond that both
-sides are shuffled on the key, and a hot header is split by the adaptive skew join.
+the long history, so production meets staging through semi, anti and left joins with production on
+the streamed side. The engine sizes the staged keys: a small side is broadcast, otherwise both sides are
+shuffled on the key and a hot header is split by the adaptive skew join.
 
 Keys match NULL to NULL. The exact bodies of the promotion jobs are not published; the
 strategies follow their written definitions.
@@ -22,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
 from tidemark.functions.typing import as_columns
-from tidemark.sources.tables import read_partitioned
+from tidemark.sources.tables import PartitionedTable
 
 # The strategy names.
 STRATEGIES = (
@@ -36,11 +34,6 @@ STRATEGIES = (
 
 NEW, PERSISTING, RESOLVED = "New", "Persisting", "Resolved"
 
-# Staging tables of at most this many counted rows have their keys broadcast (some 100 MB at
-# 100 bytes a key), which spares a shuffle of the whole production table.
-SMALL_ROWS = 1_000_000
-
-
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of the key columns of two aliased frames."""
     return reduce(lambda a, b: a & b, (col(key, left).eqNullSafe(col(key, right)) for key in keys))
@@ -52,21 +45,19 @@ def _check_columns(prod: DataFrame, stg: DataFrame) -> None:
         raise ValueError(f"Staging columns do not exist in the production table: {unknown}")
 
 
-def distinct_keys(stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
-    """One row per key; rows of a hot key merge before they are shuffled. ``rows`` is the counted
-    size of ``stg``; without it the engine judges whether the keys are small."""
-    distinct = stg.select(*as_columns(keys)).distinct()
-    return F.broadcast(distinct) if rows is not None and rows <= SMALL_ROWS else distinct
+def distinct_keys(stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key; rows of a hot key merge before they are shuffled."""
+    return stg.select(*as_columns(keys)).distinct()
 
 
-def matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+def matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Production rows whose key is in staging."""
-    return prod.alias("p").join(distinct_keys(stg, keys, rows).alias("s"), same_key("p", "s", keys), "left_semi")
+    return prod.alias("p").join(distinct_keys(stg, keys).alias("s"), same_key("p", "s", keys), "left_semi")
 
 
-def not_matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+def not_matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Production rows whose key is not in staging."""
-    return prod.alias("p").join(distinct_keys(stg, keys, rows).alias("s"), same_key("p", "s", keys), "left_anti")
+    return prod.alias("p").join(distinct_keys(stg, keys).alias("s"), same_key("p", "s", keys), "left_anti")
 
 
 def truncate_insert(prod: DataFrame | None, stg: DataFrame) -> DataFrame:
@@ -75,7 +66,7 @@ def truncate_insert(prod: DataFrame | None, stg: DataFrame) -> DataFrame:
 
 
 def delete_insert(
-    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], rows: int | None = None
+    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Delete the production rows that match staging on ``keys``, then insert all of staging.
 
@@ -85,32 +76,32 @@ def delete_insert(
     if prod is None:
         return stg
     _check_columns(prod, stg)
-    kept = not_matching(prod, stg, keys, rows)
+    kept = not_matching(prod, stg, keys)
     return kept.unionByName(stg, allowMissingColumns=True).select(*as_columns(prod.columns))
 
 
 def versioned_delete_insert(
-    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], stamps: Sequence[str], rows: int | None = None
+    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], stamps: Sequence[str]
 ) -> DataFrame:
     """:func:`delete_insert` on the key and the version stamps."""
-    return delete_insert(prod, stg, [*keys, *stamps], rows)
+    return delete_insert(prod, stg, [*keys, *stamps])
 
 
-def merge(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+def merge(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: matched rows take the staging values and keep the columns staging lacks."""
     if prod is None:
         return stg
     _check_columns(prod, stg)
     own = [name for name in prod.columns if name not in stg.columns]
     if not own:
-        return delete_insert(prod, stg, keys, rows)
-    carried = matching(prod.select(*as_columns([*keys, *own])), stg, keys, rows)
+        return delete_insert(prod, stg, keys)
+    carried = matching(prod.select(*as_columns([*keys, *own])), stg, keys)
     upserted = (
         stg.alias("s")
         .join(carried.alias("c"), same_key("s", "c", keys), "left")
         .select(*(col(name, "c" if name in own else "s").alias(name) for name in prod.columns))
     )
-    return not_matching(prod, stg, keys, rows).unionByName(upserted)
+    return not_matching(prod, stg, keys).unionByName(upserted)
 
 
 def filter_active(prod: DataFrame | None, stg: DataFrame, where: Sequence[str]) -> DataFrame:
@@ -143,8 +134,7 @@ def lifecycle_merge(
     keys: Sequence[str],
     now: Column,
     status: str = "ErrorStatus",
-    stamp: str = "LastUpdate",
-    rows: int | None = None,
+    stamp: str = "LastUpdate"
 ) -> DataFrame:
     """Stamp keys New, Persisting or Resolved; nothing is deleted.
 
@@ -168,7 +158,7 @@ def lifecycle_merge(
             return F.when(still_open, col(name, "s")).otherwise(col(name, "p")).alias(name)
         return col(name, "p")
 
-    seen = matching(prod.select(*as_columns(keys)), stg, keys, rows)
+    seen = matching(prod.select(*as_columns(keys)), stg, keys)
     fresh = not_matching(stg, seen, keys)
     fresh = fresh.select(*as_columns(stg.columns), F.lit(NEW).alias(status), now.alias(stamp))
     return joined.select(*(value(name) for name in prod.columns)).unionByName(fresh, allowMissingColumns=True)
@@ -202,10 +192,9 @@ def promote(
     keys: Sequence[str] = (),
     header_key: Sequence[str] = (),
     stamps: Sequence[str] = ("create stamp", "update stamp"),
-    where: Sequence[str] = (),
-    rows: int | None = None,
+    where: Sequence[str] = ()
 ) -> DataFrame:
-    """The next production frame under a strategy by name; ``rows`` is the counted staging size."""
+    """The next production frame under a strategy by name."""
     if strategy == "truncate_insert":
         return truncate_insert(prod, stg)
     if strategy == "filter_active":
@@ -213,66 +202,31 @@ def promote(
     if not keys:
         raise ValueError(f"{strategy} needs key columns.")
     if strategy == "pk_merge":
-        return merge(prod, stg, keys, rows)
+        return merge(prod, stg, keys)
     if strategy == "pk_delete_insert":
-        return delete_insert(prod, stg, keys, rows)
+        return delete_insert(prod, stg, keys)
     if strategy == "pk_delete_insert_on_header":
         if not header_key or [*keys][: len(header_key)] != [*header_key]:
             raise ValueError(f"header_key {list(header_key)} must be a prefix of the key {list(keys)}.")
-        return delete_insert(prod, stg, header_key, rows)
+        return delete_insert(prod, stg, header_key)
     if strategy == "versioned_delete_insert":
-        return versioned_delete_insert(prod, stg, keys, stamps, rows)
+        return versioned_delete_insert(prod, stg, keys, stamps)
     raise ValueError(f"no strategy {strategy!r}; there are {', '.join(STRATEGIES)}")
 
 
-# Partition values up to this many are named in the scan's filter; beyond it most of a table is
-# touched anyway, and a semi join keeps the same rows.
-MAX_NAMED_PARTITIONS = 1_000
-
-
-def touched_partitions(prod: DataFrame, changes: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """The rows of the partitions that ``changes`` falls in.
-
-    The values are read first (they are no more than the table has folders) and put in the filter
-    as literals, so the other folders are not even listed. A join would prune only when Spark
-    thinks it selective.
-    """
-    values = changes.select(*as_columns(partition_by)).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if len(values) > MAX_NAMED_PARTITIONS:
-        return matching(prod, changes, partition_by)
-    chosen = F.lit(False)
-    if len(partition_by) == 1:
-        known = [row[0] for row in values if row[0] is not None]
-        chosen = col(partition_by[0]).isin(known) if known else chosen
-        if len(known) < len(values):
-            chosen = chosen | col(partition_by[0]).isNull()
-    else:
-        for row in values:
-            same = (col(name).eqNullSafe(F.lit(value)) for name, value in zip(partition_by, row))
-            chosen = chosen | reduce(lambda a, b: a & b, same)
-    return prod.where(chosen)
-
-
 def rewrite_partitions(
-    path: str,
+    table: PartitionedTable,
     changes: DataFrame,
-    partition_by: Sequence[str],
-    rewrite: Callable[[DataFrame], DataFrame],
-) -> None:
-    """Rewrite only the partitions of a parquet table that ``changes`` touches.
+    rewrite: Callable[[DataFrame | None], DataFrame],
+) -> int:
+    """Rewrite only the partitions that ``changes`` touches.
 
     ``rewrite`` is given the rows of those partitions; the rest of the table is neither read nor
-    written. Right only when a key never moves between partitions, that is when ``partition_by``
-    is part of the key that ``rewrite`` matches on.
+    written. Right only when a key never moves between partitions, that is when the table's columns
+    are part of the key that ``rewrite`` matches on.
     """
-    stored = read_partitioned(changes.sparkSession, path, changes.select(*as_columns(partition_by)).schema)
-    (
-        rewrite(touched_partitions(stored, changes, partition_by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    parts = table.named(changes)
+    return table.overwrite(rewrite(table.read(parts)), parts)
 
 
 def check_partitioning(strategy: str, partition_by: Sequence[str], keys: Sequence[str], header_key: Sequence[str]) -> None:

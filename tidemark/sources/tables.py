@@ -8,7 +8,8 @@ old state in place, and the next run overwrites the left-over folder.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,16 +38,6 @@ def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
     return frame.select(*as_columns(columns)) if columns else frame
 
 
-def read_partitioned(spark: SparkSession, path: str, partition_schema: T.StructType) -> DataFrame:
-    """A parquet folder whose partition columns have the given types.
-
-    Their values are folder names; left to inference the text ``01`` would become the number 1.
-    """
-    known = {field.name: field for field in partition_schema}
-    inferred = spark.read.parquet(path).schema
-    return spark.read.schema(T.StructType([known.get(field.name, field) for field in inferred])).parquet(path)
-
-
 def read_view(spark: SparkSession, name: str, required: Sequence[str]) -> DataFrame:
     """As :func:`read_table`, failing when a required column is absent."""
     frame = read_table(spark, name)
@@ -180,10 +171,84 @@ class Table:
         return self.commit(self.stage(frame))
 
 
-def overwrite_partition(frame: DataFrame, path: str, values: Mapping[str, str]) -> int:
-    """Replace one partition folder of ``path``. An empty frame empties the partition."""
-    folder = "/".join([path.rstrip("/"), *(f"{name}={value}" for name, value in values.items())])
-    return write_counted(frame.drop(*values), folder)
+_PART, _COMMITTED_PARTS = "_part", "version long, part string, folder string, rows long, columns string"
+
+
+class PartitionedTable:
+    """A parquet table kept by the values of some columns, so that a promotion rewrites few of its rows.
+
+    A partition's name is a hash of its values as they are, with their types: a missing value, an empty
+    text, ``01`` and ``1`` are four partitions. The columns stay in the files; nothing is read back from a
+    folder name. A write puts the new states of its partitions into a folder of its own, and one commit
+    makes all of them visible; until then readers see the old states.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, by: Sequence[str]) -> None:
+        self.spark, self.path, self.by = spark, path.rstrip("/"), tuple(by)
+
+    def parts_of(self, frame: DataFrame) -> DataFrame:
+        """The frame with the name of each row's partition."""
+        return frame.withColumn(_PART, F.sha2(F.to_json(F.struct(*as_columns(self.by)), {"ignoreNullFields": "false"}), 256))
+
+    def named(self, frame: DataFrame) -> list[str]:
+        """Names of the partitions that a frame falls in: no more than the table has, or will have."""
+        return sorted(row[0] for row in self.parts_of(frame.select(*as_columns(self.by))).select(_PART).distinct().collect())
+
+    def _states(self) -> list:
+        """The last commit row of every partition; none before the first commit."""
+        if not path_exists(self.spark, f"{self.path}/commits"):
+            return []
+        log = self.spark.read.schema(_COMMITTED_PARTS).parquet(f"{self.path}/commits")
+        last = log.groupBy("part").agg(F.max_by(F.struct("version", "folder", "rows", "columns"), "version").alias("last"))
+        return last.select("part", "last.*").collect()
+
+    def exists(self) -> bool:
+        return bool(self._states())
+
+    def count(self) -> int:
+        return sum(state.rows for state in self._states())
+
+    def part_rows(self) -> dict[str, int]:
+        """Rows of each partition by its name."""
+        return {state.part: state.rows for state in self._states()}
+
+    def read(self, parts: Sequence[str] | None = None) -> DataFrame | None:
+        """All rows, or those of the named partitions, whose folders alone are listed; None before the
+        first commit."""
+        states = self._states()
+        if not states:
+            return None
+        schema = T.StructType.fromJson(json.loads(max(states, key=lambda state: state.version).columns))
+        wanted = None if parts is None else set(parts)
+        folders = [f"{self.path}/{s.folder}" for s in states if s.rows and (wanted is None or s.part in wanted)]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def overwrite(self, frame: DataFrame, parts: Sequence[str] | None = None) -> int:
+        """Make ``frame`` the state of the named partitions (or of all there are); a partition without rows
+        becomes empty. Every row must fall in one of them."""
+        states = self._states()
+        version = 1 + max((state.version for state in states), default=0)
+        target = f"{self.path}/v{version:08d}"
+        seen = Observation()
+        named = self.parts_of(frame).observe(seen, F.count(F.lit(1)).alias("rows"))
+        named.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART).parquet(target)
+        prepared, landed = int(seen.get["rows"]), {}
+        if prepared:
+            # Names are hex digests, which inference could take for numbers.
+            schema = T.StructType([*frame.schema, T.StructField(_PART, T.StringType())])
+            landed = {row[0]: row[1] for row in self.spark.read.schema(schema).parquet(target).groupBy(_PART).count().collect()}
+        if sum(landed.values()) != prepared:
+            raise PartialLoadError(f"PARTIAL STAGING LOAD: {sum(landed.values())} rows landed in {self.path}, {prepared} were prepared.")
+        replaced = {state.part for state in states} if parts is None else set(parts)
+        stray = set(landed) - replaced if parts is not None else set()
+        if stray:
+            raise ValueError(f"{len(stray)} partition(s) of the new rows are not among those to be replaced")
+        columns = frame.schema.json()
+        rows = [(version, part, f"v{version:08d}/{_PART}={part}", landed.get(part, 0), columns) for part in sorted(replaced | set(landed))]
+        # An empty first state is a commit too.
+        rows = rows or [(version, "", "", 0, columns)]
+        self.spark.createDataFrame(rows, _COMMITTED_PARTS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        return prepared
 
 
 def rows_of(frame: DataFrame, name: str = "row_count") -> DataFrame:
