@@ -1,0 +1,207 @@
+"""URL filter, toxicity, packing and decontamination against brute force."""
+
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry_points
+from tests.helpers import plan
+from tests.llm.conftest import SF
+from tidemark.llm import packing
+from tidemark.llm.decontaminate import aligned, leaks
+from tidemark.llm.packing import Packing, crossed, evolve, pack, pack_documents, shaken
+from tidemark.llm.toxicity import Lexicon, evidence_udf, folded, logistic
+from tidemark.llm.url_filter import RULES, judge_urls
+
+URLS = [
+    None, "", "no scheme", "://", "http://", "HTTP://A.Example.NET/en/1?q#f", "http://example.net/en/", "http://example.net", "https://x.net/a",
+    "http://notnet/a", "http://a.net:80/en/", "http://example.com/de/5", "http://xexample.com/de/5", "http://q.org/fr/1#x?y", "http://q.org/frx",
+    "http://ÄÖ.org/fr/é", "ftp://h/a://b/c", "http://a?b/c", "http://a#b://c",
+]
+
+
+def plain_url(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    best = None
+    for verdict, rule in RULES:
+        name, _, start = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + start) and len(rule) > len(best[1] if best else ""):
+            best = (verdict, rule)
+    return host, path, best and best[1], best and best[0]
+
+
+def test_urls(spark):
+    frame = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)], "page_id long, url string, host string")
+    got = {r.page_id: r for r in judge_urls(frame).collect()}
+    assert len(got) == len(URLS)
+    for i, url in enumerate(URLS):
+        host, path, rule, verdict = plain_url(url)
+        row = got[i]
+        assert (row.host, row.path, row.rule) == (host, path, rule) and row.verdict == (verdict or "allow")
+    assert judge_urls(frame.where("false")).count() == 0
+
+
+def test_url_query(spark):
+    frame = entry_points.queries()["op1_url_filter"](spark, SF)
+    assert not re.search("Python|Arrow|Pandas", plan(frame))
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = frame.collect()
+    assert len(got) == len(urls)
+    for row in got:
+        host, path, rule, verdict = plain_url(urls[row.page_id])
+        assert (row.host, row.path, row.rule) == (host, path, rule) and row.verdict == (verdict or row.verdict)
+
+
+def test_templates_block_by_labels_of_their_own(spark):
+    rules = [("block", "shop.test/buy/1"), ("allow", "shop.test/news/1")]
+    urls = [f"http://shop.test/{kind}/{n}{k}/x" for kind in ("buy", "news") for n in (1, 2) for k in range(10, 40)]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = judge_urls(frame, rules).collect()
+    assert {(r.path.split("/")[1], r.rule is None, r.verdict) for r in got} == {
+        ("buy", False, "block"), ("buy", True, "block"), ("news", False, "allow"), ("news", True, "allow"),
+    }
+
+
+def test_folding():
+    assert folded("1D10T, ІDІOT  i-diot\n") == " idiot idiot i diot "
+    assert folded(None) == folded("") == "  "
+
+
+def test_exceptions_win_over_the_beginning_they_contain(spark):
+    lexicon = Lexicon({" idiot": 5.0, " idiot savant ": 0.0})
+    frame = spark.createDataFrame([("idiotic 1d10t x", ), ("idiot savant", ), (None,)], "text string")
+    got = [tuple(r.e) for r in frame.select(evidence_udf(lexicon)("text").alias("e")).collect()]
+    assert got == [(3, 2, 10.0), (2, 0, 0.0), (0, 0, 0.0)]
+    assert frame.select(evidence_udf(Lexicon({}))("text").alias("e")).count() == 3
+
+
+def test_logistic_finds_the_factors():
+    random = np.random.default_rng(0)
+    inputs = np.column_stack([np.ones(4000), random.normal(size=4000)])
+    marks = (random.random(4000) < 1 / (1 + np.exp(-(inputs @ [-1, 2])))).astype(float)
+    assert np.allclose(logistic(inputs, marks), [-1, 2], atol=0.3)
+
+
+def test_toxicity_of_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    got = entry_points.queries()["op4_toxicity"](spark, sf).toPandas().set_index("doc_id")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas().set_index("doc_id").toxic
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count() and got.score.between(0, 1).all()
+    assert all(row.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, row in got.iterrows())
+    both = got.join(labels, how="inner")
+    both = both[both.held_out]
+    assert (both.predicted == both.toxic).mean() > 0.9 and both.predicted[both.toxic == 0].mean() < 0.05
+
+
+def check_packing(rows, capacity):
+    bins = defaultdict(list)
+    for row in rows:
+        bins[row.sequence_id].append((row.offset, row.length))
+    for held in bins.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def test_packing_of_documents(spark, awkward, nothing):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got = pack_documents(awkward, public_tokenizers.path("word_bpe_49k.json"), capacity=64).collect()
+    want = []
+    for row in awkward.collect():
+        ids = [*tokenizer.encode(row.text or "", add_special_tokens=False).ids, 1]
+        for piece, start in enumerate(range(0, len(ids), 64)):
+            part = np.array(ids[start : start + 64], "<u4")
+            want.append((row.doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.piece, r.start, r.length, r.ids_crc32)) for r in got)
+    assert check_packing(got, 64) <= -(-sum(r.length for r in got) // 64) + 2
+    assert pack_documents(nothing, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_packing_over_several_shards(spark, monkeypatch):
+    random = np.random.default_rng(4)
+    sizes = np.concatenate([random.integers(1, 60, 300), random.integers(200, 500, 100), np.full(20, 1000)])
+    rows = [(i, 0, 0, int(n), 0) for i, n in enumerate(sizes)]
+    got = pack(spark.createDataFrame(rows, packing.PIECES), 1000, shard_pieces=60).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(sizes)))
+    assert check_packing(got, 1000) <= -(-int(sizes.sum()) // 1000) + 3
+
+
+def test_evolution_beats_or_meets_best_fit():
+    # Triples that fill a bin exactly: best fit decreasing does not find them.
+    random = np.random.default_rng(9)
+    triples = [(a, b, 100 - a - b) for a, b in zip(random.integers(26, 49, 40), random.integers(26, 30, 40))]
+    sizes = np.array([x for t in triples for x in t])
+    plain = Packing(sizes.tolist(), 100).fill(range(len(sizes)))
+    bred = evolve(sizes, 100, 1, generations=30)
+    fill = np.bincount(bred, sizes)
+    assert fill.max() <= 100 and len(fill) <= len(plain.bins)
+    child = crossed(plain, shaken(plain, random), random)
+    assert sorted(p for pieces in child.bins.values() for p in pieces) == list(range(len(sizes)))
+    assert all(sum(sizes[p] for p in pieces) == 100 - child.free[name] for name, pieces in child.bins.items())
+
+
+def plain_alignment(a, b):
+    best, table = 0, np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            table[i, j] = max(0, table[i - 1, j - 1] + (1 if a[i - 1] == b[j - 1] else -1), table[i - 1, j] - 1, table[i, j - 1] - 1)
+            best = max(best, table[i, j])
+    return best
+
+
+def test_alignment():
+    random = np.random.default_rng(7)
+    for _ in range(60):
+        a, b = random.integers(0, 4, random.integers(0, 30)), random.integers(0, 4, random.integers(0, 20))
+        assert aligned(a, b)[0] == plain_alignment(a, b)
+
+
+@pytest.fixture(scope="module")
+def leaked(spark):
+    random = np.random.default_rng(11)
+    words = lambda n: [f"w{k}" for k in random.integers(0, 4000, n)]
+    items = [words(40) for _ in range(12)] + [["tiny", "item"], []]
+    docs = []
+    for k in range(120):
+        text, item = words(200), list(items[k % 12])
+        if k % 3 == 1:  # an edited copy
+            for at in random.integers(0, 40, 5):
+                item[at] = "edited"
+            item.insert(20, "more")
+        docs.append((k, " ".join(text[:100] + (item if k % 3 else []) + text[100:])))
+    docs.append((500, " ".join(words(50) + items[0] + words(3000) + items[1] + items[0])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    return frame, spark.createDataFrame([(k, " ".join(i).upper() + ".") for k, i in enumerate(items)], "item_id long, text string")
+
+
+def test_leaks(spark, leaked):
+    got = {(r.doc_id, r.item_id): r for r in leaks(*leaked).collect()}
+    assert set(got) == {(k, k % 12) for k in range(120) if k % 3} | {(500, 0), (500, 1)}
+    assert all(row.score == 1.0 for (k, _), row in got.items() if k % 3 == 2)
+    assert (got[2, 2].first_word, got[2, 2].last_word) == (100, 139)
+
+
+def test_leaks_of_awkward_rows(spark, leaked, awkward, nothing):
+    assert leaks(awkward, leaked[1]).count() == 0 and leaks(nothing, leaked[1]).count() == 0
+    assert leaks(leaked[0], leaked[1].where("false")).count() == 0
+
+
+def test_leak_query_finds_all_exact_passages(spark):
+    normal = lambda text: " ".join(re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]", " ", text.lower()).split())
+    docs = {r.doc_id: normal(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = {r.item_id: normal(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    got = {(r.doc_id, r.item_id) for r in entry_points.queries()["op9_benchmark_leaks"](spark, SF).collect()}
+    assert {(d, i) for d, text in docs.items() for i, item in items.items() if item in text} <= got
