@@ -1,5 +1,3 @@
-import datetime as dt  # noqa: F401
-
 import pyarrow.parquet as pq
 import pytest
 
