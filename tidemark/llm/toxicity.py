@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tidemark.llm.base import documents, fields, labels_of, query, renamed, table
+from tidemark.llm.base import documents, fields, labels_of, query, renamed, stored, table
 from tidemark.llm.words import WordNumbers, shingles
 
 # Labelled rows that are learned from, at most: those with the smallest hashed ids.
@@ -52,6 +52,11 @@ def folded(text: str | None) -> str:
     return " " + " ".join((text or "").lower().translate(_FOLD).split()) + " "
 
 
+def _words(plain: str) -> int:
+    """Words of a folded text; an empty one is two blanks."""
+    return plain.count(" ") - 1 if len(plain) > 2 else 0
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Patterns (a word's beginning after a blank, or a phrase between blanks) and their weights; the
@@ -82,7 +87,7 @@ def evidence_udf(lexicon: Lexicon):
         for text in texts.to_pylist():
             plain = folded(text)
             found = [w for _, (_, w) in made[0].iter_long(plain) if w > 0] if made else []
-            words.append(plain.count(" ") - 1)
+            words.append(_words(plain))
             hits.append(len(found))
             weights.append(math.fsum(found))
         columns = [pa.array(words, pa.int64()), pa.array(hits, pa.int64()), pa.array(weights, pa.float64())]
@@ -142,7 +147,7 @@ def _pattern_counts(rows: DataFrame) -> DataFrame:
                 plain = folded(text)
                 totals = held.setdefault("", [0, 0, 0, 0])
                 totals[0 if mark else 1] += 1
-                totals[2 if mark else 3] += plain.count(" ") - 1
+                totals[2 if mark else 3] += _words(plain)
                 for pattern, n in _patterns(plain).items():
                     row = held.setdefault(pattern, [0, 0, 0, 0])
                     row[0 if mark else 1] += 1
@@ -210,9 +215,11 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) ->
     """Learn from at most ``rows`` labelled documents (``doc_id, text`` and ``id, mark``, 1 is toxic); near
     copies count once. Without both labels the lexicon is empty and all scores are alike and low."""
     chosen = labels.orderBy(F.xxhash64("id"), "id").limit(rows)
-    known = docs.join(chosen, docs["doc_id"] == chosen["id"]).select("text", "mark", _gist("text").alias("gist"))
-    known = known.groupBy("gist", "mark").agg(F.min("text").alias("text")).select("text", "mark")
+    # The chosen labels are bounded by ``rows``, so they go to the texts and not the texts to them.
+    known = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"]).select("text", "mark", _gist("text").alias("gist"))
+    known = stored(known.groupBy("gist", "mark").agg(F.min("text").alias("text")).select("text", "mark"), "learned")
     counts = _pattern_counts(known).where((F.col("pattern") == "") | (F.col("marked_docs") >= 4) | F.col("pattern").endswith(" "))
+    counts = stored(counts, "patterns")
     # Exceptions need a chosen beginning, so whole words are only fetched for those.
     starts = counts.where(~F.col("pattern").endswith(" ") & ((F.col("pattern") == "") | (F.col("marked") > F.col("other") / 20)))
     found = [tuple(row) for row in starts.orderBy(F.desc("marked_docs"), "pattern").limit(40 * PATTERNS).collect()]
