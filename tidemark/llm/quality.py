@@ -228,7 +228,8 @@ def verdict(rules: Sequence[Rule], at: Callable[[str], Column] = F.col) -> Colum
 def learn_rules(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS, **options) -> list[Rule]:
     """Learn from at most ``rows`` labelled documents (``doc_id, text`` and ``id, mark``, 1 is good)."""
     chosen = labels.orderBy(F.xxhash64("id"), "id").limit(rows)
-    known = docs.join(chosen, docs["doc_id"] == chosen["id"])
+    # Bounded by ``rows``, so the labels go to the texts and not the texts to them.
+    known = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"])
     known = known.select("doc_id", "mark", text_statistics("text").alias("s")).select("doc_id", "mark", "s.*")
     found = known.select("doc_id", (F.col("mark") == 0).alias("bad"), *(column.alias(f"f_{name}") for name, column in features().items()))
     # Repeated ids could bring more rows than labels; the order makes the result the same each time.
