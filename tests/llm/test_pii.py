@@ -108,3 +108,12 @@ def test_query(spark):
 
 def test_awkward_rows(awkward, nothing):
     assert find_personal_data(awkward).count() == awkward.count() and find_personal_data(nothing).count() == 0
+
+
+def test_octets_of_zero(spark):
+    texts = ["host 10.0.0.1 up", "0.0.0.0", "000.1.2.3", "127.0.0.1 192.168.0.12 8.8.8.8", "256.0.0.0", "0.0.0.256", "0" * 3000 + ".0.0.0", ("0" * 500 + ".") * 3 + "999"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = find_personal_data(frame).withColumn("clean", redacted("text", "pii")).orderBy("doc_id").collect()
+    for row in got:
+        assert [f"{s.kind}:{s.start}:{s.stop}" for s in row.pii if s.rank < 4] == plain_spans(row.text)
+    assert [row.clean for row in got[:4]] == ["host [IP] up", "[IP]", "[IP]", "[IP] [IP] [IP]"]

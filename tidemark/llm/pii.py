@@ -39,7 +39,7 @@ class Kind:
     base: bool = False
 
 
-_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 
 def _digits(m: str) -> str:
