@@ -117,3 +117,9 @@ def test_octets_of_zero(spark):
     for row in got:
         assert [f"{s.kind}:{s.start}:{s.stop}" for s in row.pii if s.rank < 4] == plain_spans(row.text)
     assert [row.clean for row in got[:4]] == ["host [IP] up", "[IP]", "[IP]", "[IP] [IP] [IP]"]
+
+
+def test_long_secrets_are_taken_whole(spark):
+    texts = [f"api_key={'a1B2' * n} end" for n in (4, 50, 51, 150, 2500)]
+    got = find_personal_data(spark.createDataFrame([(t,) for t in texts], "text string")).withColumn("clean", redacted("text", "pii"))
+    assert {row.clean for row in got.collect()} == {"[SECRET] end"}

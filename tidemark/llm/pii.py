@@ -80,7 +80,7 @@ KINDS = (
         lambda m: "true", 0.3, "ssn|social|security|tax",
     ),
     Kind(
-        "secret", r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9_/+-]{16,200}+", "",
+        "secret", r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9_/+-]{16,}+", "",
         lambda m: "true", 0.8, "key|auth|secret|token",
     ),
     Kind(
