@@ -3,6 +3,8 @@
 import re
 import zlib
 from collections import Counter, defaultdict
+from re import _constants as sre
+from re import _parser as parser
 
 import numpy as np
 import pytest
@@ -10,7 +12,7 @@ import pytest
 import __spark_entry__ as entry_points
 from tests.llm.conftest import SF
 from tidemark.llm.base import labels_of
-from tidemark.llm.licenses import BASE_PHRASES, detections, rules, scan_licenses, scan_text
+from tidemark.llm.licenses import _GATES, BASE_PHRASES, detections, rules, scan_licenses, scan_text
 from tidemark.llm.quality import Condition, covered, judge_quality, learn, statistics
 from tidemark.llm.shards import assign_shards
 from tidemark.llm.words import WordNumbers
@@ -170,3 +172,40 @@ def test_shards_of_awkward_rows(awkward, nothing):
     got = assign_shards(awkward, 5)
     assert got.count() == awkward.count() and got.where("text_crc32 is null or shard is null").count() == 0
     assert assign_shards(nothing, 5).count() == 0
+
+
+def examples(parsed):
+    """Texts that hold each alternative and option of a parsed pattern at least once."""
+    parts = []
+    for op, value in parsed:
+        if op is sre.LITERAL:
+            parts.append([chr(value)])
+        elif op is sre.IN:
+            kind, what = value[0]
+            parts.append(["1" if what is sre.CATEGORY_DIGIT else "x"] if kind is sre.CATEGORY else [chr(v) for _, v in value])
+        elif op is sre.BRANCH:
+            parts.append([text for way in value[1] for text in examples(way)])
+        elif op is sre.SUBPATTERN:
+            parts.append(examples(value[3]))
+        elif op is sre.MAX_REPEAT:
+            low, high, inner = value
+            parts.append([text * n for n in {low, max(low, 1)} for text in examples(inner)])
+        else:
+            assert op is sre.ASSERT_NOT
+    return ["".join(part[k % len(part)] for part in parts) for k in range(max(map(len, parts), default=1))]
+
+
+def test_every_alternative_passes_the_gates_of_its_rule():
+    for rule in rules():
+        found = examples(parser.parse(rule.pattern.pattern))
+        assert found
+        for text in found:
+            assert rule.pattern.fullmatch(text) and all(key in text for key in rule.keywords), (rule.label, text)
+            assert any(gate.decode() in text for gate in _GATES)
+
+
+def test_short_texts_of_gated_rules():
+    labels = lambda text: set(scan_text(text.encode())["labels"].split(","))
+    assert labels("Licensed under the GNU General Public License version 1") == {"gpl-1.0"}
+    assert labels("Licensed under the Open Database License") == {"odbl-1.0"}
+    assert labels("Released under the Open Data Commons Open Database License") == {"odbl-1.0"}

@@ -42,14 +42,15 @@ def normal_words(raw: bytes) -> list[bytes]:
 
 
 _V = "(?:version |v |v)?"
-# label; name in running text; identifier as written in machine-readable headers; keyword.
+# label; name in running text; identifier as written in machine-readable headers; keyword, which every
+# alternative of the name and of the identifier holds.
 _NAMES = (
     ("mit", r"(?:the )?mit(?: expat)?", r"mit", "mit"),
     ("mit-0", r"mit no attribution", r"mit 0", "mit"),
     ("x11", r"(?:mit )?x11", r"x11", "x11"),
     ("apache-1.1", rf"apache(?: software)? license {_V}1 1", r"apache 1 1", "apache"),
     ("apache-2.0", rf"apache(?: software)? license {_V}2(?: 0)?|apache {_V}2(?: 0)?", r"apache 2 0", "apache"),
-    ("gpl-1.0", rf"gnu (?:general )?public license {_V}1(?: 0)?", r"gpl 1 0(?: only| or later)?", "gp"),
+    ("gpl-1.0", rf"gnu (?:general )?public license {_V}1(?: 0)?", r"gpl 1 0(?: only| or later)?", "1"),
     ("gpl-2.0", rf"(?:gnu )?(?:general public license|gpl) {_V}2(?: 0)?", r"gpl 2 0(?: only| or later)?", "2"),
     ("gpl-3.0", rf"(?:gnu )?(?:general public license|gpl) {_V}3(?: 0)?", r"gpl 3 0(?: only| or later)?", "3"),
     ("lgpl-2.1", rf"(?:gnu )?(?:lesser|library) general public license {_V}2 1|lgpl {_V}2 1", r"lgpl 2 1(?: only| or later)?", "2"),
@@ -92,7 +93,7 @@ _NAMES = (
         for version in ("2.0", "3.0", "4.0")
     ),
     ("odc-by-1.0", rf"open data commons attribution license(?: {_V}1 0)?", r"odc by 1 0", "o"),
-    ("odbl-1.0", rf"open (?:data commons open )?database license(?: {_V}1 0)?|odbl", r"odbl 1 0", "od"),
+    ("odbl-1.0", rf"open (?:data commons open )?database license(?: {_V}1 0)?|odbl", r"odbl 1 0", "b"),
     ("gfdl-1.3", rf"gnu free documentation license(?: {_V}1 3)?", r"gfdl 1 3(?: only| or later)?", "g"),
 )
 # form around a name; priority; confidence; keyword of the form.
