@@ -13,7 +13,7 @@ import __spark_entry__ as entry_points
 from tests.helpers import plan
 from tests.llm.conftest import SF
 from tidemark.llm import packing
-from tidemark.llm.decontaminate import aligned, leaks
+from tidemark.llm.decontaminate import aligned, leaks, word_hashes
 from tidemark.llm.packing import Packing, crossed, evolve, pack, pack_documents, shaken
 from tidemark.llm.toxicity import Lexicon, evidence_udf, folded, logistic
 from tidemark.llm.url_filter import RULES, judge_urls
@@ -194,6 +194,33 @@ def test_leaks(spark, leaked):
     assert (got[2, 2].first_word, got[2, 2].last_word) == (100, 139)
 
 
+def damaged(item, random):
+    """A copy with words replaced, left out and put in between."""
+    rate, out = random.choice([0.1, 0.2, 0.3]), []
+    for word in item:
+        edit = random.random()
+        out += [] if edit < rate / 3 else [f"e{random.integers(99)}"] if edit < rate else [word]
+        out += [f"e{random.integers(99)}"] if random.random() < rate else []
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.7])
+def test_leaks_are_all_that_reach_the_threshold(spark, threshold):
+    random = np.random.default_rng(23)
+    words = lambda n, of=300: [f"w{k}" for k in random.integers(0, of, n)]
+    items = [words(n) for n in (1, 2, 3, 4, 4, 5, 6, 7, 9, 12, 15, 20, 30, 40, 59)]
+    spaced = lambda item, step: [w for k, word in enumerate(item) for w in ([f"e{k}"] if k % step == step - 1 else [word])]
+    doubled = lambda item: [w for k, word in enumerate(item) for w in ([word, f"e{k}"] if k % 2 else [word])]
+    texts = [f"{' '.join(words(30))} {' '.join(copy)} {' '.join(words(30))}" for item in items for copy in [
+        item, spaced(item, 5), spaced(item, 4), doubled(item), [*item[: len(item) // 2], "e", *item[len(item) // 2 + 1 :]], *(damaged(item, random) for _ in range(6))
+    ]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in leaks(docs, bench, threshold=threshold).collect()}
+    scores = {(d, i): aligned(word_hashes(text), word_hashes(" ".join(item)))[0] / len(item) for d, text in enumerate(texts) for i, item in enumerate(items)}
+    assert got == {pair: score for pair, score in scores.items() if score >= threshold}
+
+
 def test_leaks_of_awkward_rows(spark, leaked, awkward, nothing):
     assert leaks(awkward, leaked[1]).count() == 0 and leaks(nothing, leaked[1]).count() == 0
     assert leaks(leaked[0], leaked[1].where("false")).count() == 0
