@@ -85,6 +85,13 @@ def test_exceptions_win_over_the_beginning_they_contain(spark):
     assert frame.select(evidence_udf(Lexicon({}))("text").alias("e")).count() == 3
 
 
+def test_neighbours_of_exceptions_count(spark):
+    lexicon = Lexicon({" idiot": 5.0, " idiosyncratic ": 0.0, " village idiot ": 0.0, " idiot savant ": 0.0})
+    texts = ["idiosyncratic idiot", "idiot idiosyncratic idiot", "idiosyncratic x idiot", "village idiot savant", "idiot village idiot idiots", "village idiots"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    assert [r.e.hits for r in frame.select(evidence_udf(lexicon)("text").alias("e")).collect()] == [1, 2, 1, 0, 2, 1]
+
+
 def test_logistic_finds_the_factors():
     random = np.random.default_rng(0)
     inputs = np.column_stack([np.ones(4000), random.normal(size=4000)])

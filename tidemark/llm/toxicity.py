@@ -73,6 +73,31 @@ class Lexicon:
         return made
 
 
+def counted(automaton, plain: str) -> list[tuple[int, int, float]]:
+    """``(start, end, weight)`` of what counts in a folded text: of the weighted patterns that begin at a
+    word the longest, unless an exception contains it. Matches may share the blank between two words."""
+    weighted: dict[int, tuple[int, int, float]] = {}
+    exceptions = []
+    for last, (size, weight) in automaton.iter(plain):
+        start = last + 1 - size
+        if weight > 0:
+            weighted[start] = (start, last + 1, weight)  # matches come by their ends, so the longest is the last
+        else:
+            exceptions.append((start, last + 1))
+    if not weighted:
+        return []
+    # The furthest end of the exceptions that begin no later.
+    reach, at, found = -1, 0, []
+    exceptions.sort()
+    for start in sorted(weighted):
+        while at < len(exceptions) and exceptions[at][0] <= start:
+            reach = max(reach, exceptions[at][1])
+            at += 1
+        if weighted[start][1] > reach:
+            found.append(weighted[start])
+    return found
+
+
 EVIDENCE = fields(words="long", hits="long", weight="double")
 
 
@@ -86,7 +111,7 @@ def evidence_udf(lexicon: Lexicon):
         words, hits, weights = [], [], []
         for text in texts.to_pylist():
             plain = folded(text)
-            found = [w for _, (_, w) in made[0].iter_long(plain) if w > 0] if made else []
+            found = [w for _, _, w in counted(made[0], plain)] if made else []
             words.append(_words(plain))
             hits.append(len(found))
             weights.append(math.fsum(found))
