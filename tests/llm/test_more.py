@@ -15,7 +15,7 @@ from tests.llm.conftest import SF
 from tidemark.llm import packing
 from tidemark.llm.decontaminate import aligned, leaks, word_hashes
 from tidemark.llm.packing import Packing, crossed, evolve, pack, pack_documents, shaken
-from tidemark.llm.toxicity import Lexicon, evidence_udf, folded, logistic
+from tidemark.llm.toxicity import Lexicon, evidence_udf, folded, learn_lexicon, logistic
 from tidemark.llm.url_filter import RULES, judge_urls
 
 URLS = [
@@ -92,6 +92,21 @@ def test_neighbours_of_exceptions_count(spark):
     assert [r.e.hits for r in frame.select(evidence_udf(lexicon)("text").alias("e")).collect()] == [1, 2, 1, 0, 2, 1]
 
 
+def test_learned_phrases_and_whole_words(spark):
+    random = np.random.default_rng(5)
+    rows = []
+    for k in range(600):
+        mark = int(k % 3 == 0)
+        words = [f"{chr(97 + a)}{chr(97 + b)}xq" for a, b in random.integers(0, 26, (30, 2))]
+        words[5:5] = (["you", "grotten"] if k % 2 else ["an", "orc"]) if mark else ["the", "grotten", "mill"] if k % 18 == 1 else ["orchard", "orca", "orchestra"]
+        rows.append((k, " ".join(words), mark))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark int")
+    lexicon = learn_lexicon(docs.select("doc_id", "text"), docs.selectExpr("doc_id as id", "mark"))
+    assert lexicon.weights[" orc "] > 1.5 and lexicon.weights[" grotten mill "] == lexicon.weights[" the grotten "] == lexicon.weights[" the grotten mill "] == 0
+    frame = spark.createDataFrame([("the grotten mill",), ("grotten x",), ("orc in the orchard",)], "text string").coalesce(1)
+    assert [r.e.hits for r in frame.select(evidence_udf(lexicon)("text").alias("e")).collect()] == [0, 1, 1]
+
+
 def test_logistic_finds_the_factors():
     random = np.random.default_rng(0)
     inputs = np.column_stack([np.ones(4000), random.normal(size=4000)])

@@ -1,8 +1,8 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
 Folding lowers letters, turns look-alikes from other scripts and digits that stand for letters into
-plain letters, and leaves single blanks between words. The lexicon holds beginnings of words with
-weights, and exception phrases: longer patterns of weight 0 that win over a beginning they contain.
+plain letters, and leaves single blanks between words. The lexicon holds beginnings of words and whole words with
+weights, and exceptions: words and phrases of two or three words of weight 0 that win over what they contain.
 Weights, exceptions and the calibration are learned from labelled documents. A document's weight is
 set against its length before it becomes a score.
 """
@@ -12,12 +12,13 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -27,7 +28,7 @@ from tidemark.llm.words import WordNumbers, shingles
 
 # Labelled rows that are learned from, at most: those with the smallest hashed ids.
 LEARN_ROWS = 20_000
-# Patterns in the lexicon, at most: the surest ones. Bounds what is sent to the tasks.
+# Weighted patterns in the lexicon, at most: the surest ones. Exceptions are bounded by the rows learned from.
 PATTERNS = 5_000
 SHORTEST, LONGEST = 3, 14
 
@@ -147,7 +148,7 @@ def _gist(texts: pa.Array) -> pa.Array:
 
 
 def _patterns(plain: str) -> Counter:
-    """How often each beginning of a word occurs in a folded text, and each whole word or pair of words."""
+    """How often each beginning of a word occurs in a folded text, and each whole word."""
     words, found = Counter(plain.split()), Counter()
     for word, n in words.items():
         for size in range(SHORTEST, min(LONGEST, len(word)) + 1):
@@ -156,7 +157,27 @@ def _patterns(plain: str) -> Counter:
     return found
 
 
-def _pattern_counts(rows: DataFrame) -> DataFrame:
+def _phrases(lexicon: Lexicon):
+    """Counts in a folded text the phrases of two and three words around each word that counts."""
+    made: list = []
+
+    def phrases(plain: str) -> Counter:
+        if not made:
+            made.append(lexicon.automaton())
+        hits = counted(made[0], plain)
+        if not hits:
+            return Counter()
+        words, windows = plain.split(), set()
+        for start, _, _ in hits:
+            place = plain.count(" ", 0, start)
+            for size in (2, 3):
+                windows |= {(first, first + size) for first in range(max(0, place - size + 1), min(place, len(words) - size) + 1)}
+        return Counter(f" {' '.join(words[first:stop])} " for first, stop in windows)
+
+    return phrases
+
+
+def _pattern_counts(rows: DataFrame, patterns: Callable[[str], Counter] = _patterns) -> DataFrame:
     """Over training rows ``(text, mark)``: documents and occurrences of each pattern by label."""
 
     def count(batches):
@@ -173,7 +194,7 @@ def _pattern_counts(rows: DataFrame) -> DataFrame:
                 totals = held.setdefault("", [0, 0, 0, 0])
                 totals[0 if mark else 1] += 1
                 totals[2 if mark else 3] += _words(plain)
-                for pattern, n in _patterns(plain).items():
+                for pattern, n in patterns(plain).items():
                     row = held.setdefault(pattern, [0, 0, 0, 0])
                     row[0 if mark else 1] += 1
                     row[2 if mark else 3] += n
@@ -185,40 +206,41 @@ def _pattern_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("pattern").agg(*(F.sum(name).alias(name) for name in _COUNTS.names[1:]))
 
 
-def _certainty(marked: int, other: int, share: float) -> float:
-    """Signed root of the likelihood ratio that documents with a pattern are marked as often as all are."""
-    both = marked + other
-    ratio = sum(n * math.log(n / (both * part)) for n, part in ((marked, share), (other, 1 - share)) if n)
-    return math.copysign(math.sqrt(max(0.0, 2 * ratio)), marked - both * share)
+def _judged(counts: DataFrame, totals: Row) -> DataFrame:
+    """Pattern counts with ``value``, the log odds of the rates in marked and other text, and ``sure``, the signed
+    root of the likelihood ratio that documents with a pattern are marked as often as all are."""
+    share = totals.marked_docs / (totals.marked_docs + totals.other_docs)
+    value = F.log((F.col("marked") + 0.5) / (totals.marked + 1)) - F.log((F.col("other") + 0.5) / (totals.other + 1))
+    both, ratio = F.col("marked_docs") + F.col("other_docs"), F.lit(0.0)
+    for name, part in (("marked_docs", share), ("other_docs", 1 - share)):
+        ratio += F.when(F.col(name) > 0, F.col(name) * F.log(F.col(name) / (both * part))).otherwise(0.0)
+    sure = F.signum(F.col("marked_docs") - both * share) * F.sqrt(F.greatest(F.lit(0.0), 2 * ratio))
+    return counts.where("pattern != ''").withColumns({"value": value, "sure": sure})
 
 
-Counts = tuple[str, int, int, int, int]
+def _surest(family: pa.Table) -> pa.Table:
+    """Of patterns with a common beginning those of which the documents are surest, none a beginning of another.
+    Of equally sure ones a beginning comes before a whole word, as it also stands for inflections."""
+    chosen: list[str] = []
+    rows = family.to_pylist()
+    for row in sorted(rows, key=lambda row: (-row["sure"], row["pattern"].endswith(" "), -len(row["pattern"]), row["pattern"])):
+        if not any(row["pattern"].startswith(other) or other.startswith(row["pattern"]) for other in chosen):
+            chosen.append(row["pattern"])
+    return pa.Table.from_pylist([row for row in rows if row["pattern"] in set(chosen)], family.schema)
 
 
-def choose(counts: list[Counts], totals: Counts, surely: float = 5.0, weight: float = 1.5) -> dict[str, float]:
-    """The lexicon from pattern counts (documents, then occurrences, by label).
+def choose(judged: DataFrame, surely: float = 5.0, weight: float = 1.5) -> dict[str, float]:
+    """The weighted patterns: beginnings and whole words. They come in families; two of which one begins the other
+    have their first letters in common."""
+    fit = judged.where((F.col("sure") >= surely) & (F.col("value") >= weight) & (F.col("marked_docs") >= 4)).select("pattern", "value", "sure")
+    fit = fit.groupBy(F.substring("pattern", 1, 1 + SHORTEST)).applyInArrow(_surest, fit.schema)
+    return {row.pattern: round(row.value, 4) for row in fit.orderBy(F.desc("sure"), "pattern").limit(PATTERNS).collect()}
 
-    A pattern's weight is the log odds of its rates in marked and other text. Patterns come in
-    families of beginnings; the one of which the documents are surest stands for its family. Whole
-    words under it that are no sign of the label become exceptions.
-    """
-    share = totals[1] / (totals[1] + totals[2])
-    odds = {}
-    for pattern, marked_docs, other_docs, marked, other in counts:
-        value = math.log((marked + 0.5) / (totals[3] + 1)) - math.log((other + 0.5) / (totals[4] + 1))
-        odds[pattern] = (value, _certainty(marked_docs, other_docs, share), marked_docs)
-    chosen: dict[str, float] = {}
-    for pattern, (value, sure, docs) in sorted(odds.items(), key=lambda item: (-item[1][1], -len(item[0]), item[0])):
-        if sure < surely or len(chosen) >= PATTERNS:
-            break
-        if value < weight or docs < 4 or pattern.endswith(" "):
-            continue
-        if not any(pattern[:k] in chosen for k in range(2, len(pattern))) and not any(other.startswith(pattern) for other in chosen):
-            chosen[pattern] = round(value, 4)
-    for pattern, (value, sure, _) in odds.items():
-        if pattern.endswith(" ") and value < 0.5 and sure < 1.0 and any(pattern[:k] in chosen for k in range(2, len(pattern))):
-            chosen[pattern] = 0.0
-    return chosen
+
+def _harmless(judged: DataFrame) -> dict[str, float]:
+    """Patterns that are no sign of the label, as exceptions."""
+    rows = judged.where((F.col("value") < 0.5) & (F.col("sure") < 1.0) & (F.col("other_docs") >= 3)).select("pattern")
+    return {row.pattern: 0.0 for row in rows.collect()}
 
 
 def logistic(inputs: np.ndarray, marks: np.ndarray, penalty: float = 1e-2, steps: int = 40) -> tuple[float, ...]:
@@ -245,21 +267,21 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) ->
     known = stored(known.groupBy("gist", "mark").agg(F.min("text").alias("text")).select("text", "mark"), "learned")
     counts = _pattern_counts(known).where((F.col("pattern") == "") | (F.col("marked_docs") >= 4) | F.col("pattern").endswith(" "))
     counts = stored(counts, "patterns")
-    # Exceptions need a chosen beginning, so whole words are only fetched for those.
-    starts = counts.where(~F.col("pattern").endswith(" ") & ((F.col("pattern") == "") | (F.col("marked") > F.col("other") / 20)))
-    found = [tuple(row) for row in starts.orderBy(F.desc("marked_docs"), "pattern").limit(40 * PATTERNS).collect()]
-    whole = next((row for row in found if row[0] == ""), ("", 0, 0, 0, 0))
-    if not whole[1] or not whole[2]:
+    whole = counts.where("pattern = ''").first()
+    if whole is None or not whole.marked_docs or not whole.other_docs:
         return Lexicon({})
-    beginnings = choose([row for row in found if row[0]], whole)
-    if not beginnings:
+    judged = _judged(counts, whole)
+    weights = choose(judged)
+    if not weights:
         return Lexicon({})
-    under = F.lit(False)
+    # Exceptions need a chosen beginning, so whole words are only fetched for those.
+    beginnings, under = [p for p in weights if not p.endswith(" ")], F.lit(False)
     for size in sorted({len(p) for p in beginnings}):
         under = under | F.substring("pattern", 1, size).isin([p for p in beginnings if len(p) == size])
-    words = counts.where(F.col("pattern").endswith(" ") & under & (F.col("other_docs") >= 3))
-    found = [row for row in found if row[0] in beginnings] + [tuple(row) for row in words.orderBy(F.desc("other_docs"), "pattern").limit(PATTERNS).collect()]
-    lexicon = Lexicon(choose(found, whole))
+    lexicon = Lexicon(weights | _harmless(judged.where(F.col("pattern").endswith(" ") & under)))
+    # What still counts may be harmless beside certain words.
+    phrases = _judged(_pattern_counts(known, _phrases(lexicon)), whole)
+    lexicon = Lexicon(lexicon.weights | _harmless(phrases))
     seen = known.select("mark", evidence_udf(lexicon)("text").alias("evidence"))
     seen = seen.select("mark", *(c.alias(f"x{k}") for k, c in enumerate(_inputs("evidence")))).toPandas()
     return Lexicon(lexicon.weights, logistic(seen.filter(like="x").to_numpy(float), seen["mark"].to_numpy(float)))
