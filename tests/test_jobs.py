@@ -11,7 +11,7 @@ from tidemark.operators.archive import daily_rows, rearchive, window_dates, writ
 from tidemark.operators.backfill import copy_prod_table, copy_table, copyable_tables, shared_columns
 from tidemark.operators.search_terms import search_terms
 from tidemark.plans.spec import Destination, LoadSpec, Promotion, SourceFile, TableRef
-from tidemark.sources.tables import PartitionedTable, Table
+from tidemark.sources.tables import PartitionedTable, Table, open_table
 
 VIEW = "`Item Group` string, Item string, RefSearch string, ItemSearch string, Date string, o int"
 
@@ -116,5 +116,91 @@ def test_copy_between_destinations(spark, tmp_path):
         copy_prod_table(spark, spec, target="des1")
     with pytest.raises(ValueError, match="no prod table"):
         copy_prod_table(spark, spec, table="zz")
-    with pytest.raises(ValueError, match="No destination named"):
+    with pytest.raises(ValueError, match="no destination des9"):
         copy_prod_table(spark, spec, target="des9")
+
+
+ODD_FLAGS = ["", None, "01", "1", "x"]
+
+
+def flagged(spark, n=100, extra="id long, flag string, note string"):
+    return spark.createDataFrame([(k, ODD_FLAGS[k % 5], f"n{k}") for k in range(n)], extra)
+
+
+@pytest.mark.parametrize(("origin_by", "goal_by"), [(["flag"], []), ([], ["flag"]), (["flag"], ["flag"]), (["flag"], ["id"]), ([], [])])
+def test_copy_between_layouts_keeps_every_row(spark, tmp_path, origin_by, goal_by):
+    frame = flagged(spark, 50)
+    origin = open_table(spark, str(tmp_path / "a"), origin_by)
+    goal = open_table(spark, str(tmp_path / "b"), goal_by)
+    origin.overwrite(frame)
+    goal.overwrite(spark.createDataFrame([], "flag string, extra int, id long"))
+    wanted = sorted([(flag, None, k) for k, flag, _ in frame.collect()], key=str)
+    assert copy_table(origin, goal, dry_run=True).status == "DRY_RUN" and goal.count() == 0
+    assert copy_table(origin, goal, confirm=lambda message: "50 rows" not in message).status == "ABORTED"
+    done = copy_table(origin, goal)
+    assert (done.status, done.source_rows, done.rows_copied) == ("COPIED", 50, 50)
+    assert sorted(map(tuple, goal.read().collect()), key=str) == wanted and goal.count() == 50
+    assert copy_table(origin, goal).status == "SKIPPED_NONEMPTY"
+    origin.overwrite(frame.where("id < 7"))
+    forced = copy_table(origin, goal, truncate=True)
+    assert (forced.status, forced.rows_copied, forced.rows_truncated) == ("COPIED", 7, 50)
+    assert sorted(map(tuple, goal.read().collect()), key=str) == [row for row in wanted if row[2] < 7]
+
+
+@pytest.mark.parametrize("origin_by", [["flag"], []])
+def test_gaps_are_filled_partition_by_partition(spark, tmp_path, origin_by):
+    origin, goal = open_table(spark, str(tmp_path / "a"), origin_by), open_table(spark, str(tmp_path / "b"), ["flag"])
+    origin.overwrite(flagged(spark))
+    kept = spark.createDataFrame([("x", -1), (None, -2)], "flag string, id long")
+    goal.overwrite(kept)
+    planned = copy_table(origin, goal, fill_gaps=True, dry_run=True)
+    assert planned.status == "DRY_RUN" and len(planned.partitions) == 3
+    log = len(spark.read.parquet(f"{goal.path}/commits").select("version").distinct().collect())
+    done = copy_table(origin, goal, fill_gaps=True)
+    assert (done.status, done.rows_copied, done.target_rows_before, done.partitions) == ("COPIED", 60, 2, planned.partitions)
+    got = goal.read().collect()
+    assert {r.id for r in got if r.flag in ("x", None)} == {-1, -2} and len(got) == 62
+    assert len(spark.read.parquet(f"{goal.path}/commits").select("version").distinct().collect()) == log + 1
+    assert copy_table(origin, goal, fill_gaps=True).status == "SKIPPED_NONEMPTY"
+    with pytest.raises(ValueError, match="not both"):
+        copy_table(origin, goal, fill_gaps=True, truncate=True)
+    with pytest.raises(ValueError, match="no gaps"):
+        copy_table(goal, Table(spark, str(tmp_path / "c")) if Table(spark, str(tmp_path / "c")).overwrite(kept) else None, fill_gaps=True)
+
+
+def test_gaps_of_tables_kept_alike_read_only_their_folders(spark, tmp_path, monkeypatch):
+    origin, goal = (open_table(spark, str(tmp_path / name), ["flag"]) for name in "ab")
+    origin.overwrite(flagged(spark))
+    goal.overwrite(flagged(spark).where("flag = 'x'"))
+    asked = []
+    monkeypatch.setattr(type(goal), "count_parts", lambda *a: pytest.fail("counted what the commit rows tell"))
+    read = type(origin).read
+    monkeypatch.setattr(type(origin), "read", lambda self, parts=None: asked.append((self.path, parts)) or read(self, parts))
+    done = copy_table(origin, goal, fill_gaps=True)
+    assert done.rows_copied == 80 and (origin.path, done.partitions) in asked
+
+
+def test_a_target_filled_meanwhile_is_left(spark, tmp_path):
+    for by in ([], ["flag"]):
+        origin, goal = open_table(spark, str(tmp_path / f"a{len(by)}"), by), open_table(spark, str(tmp_path / f"b{len(by)}"), by)
+        origin.overwrite(flagged(spark))
+        goal.overwrite(spark.createDataFrame([], "id long, flag string"))
+
+        def other(message):
+            open_table(spark, goal.path, by).overwrite(spark.createDataFrame([(5, "x")], "id long, flag string"))
+            return True
+
+        assert copy_table(origin, goal, confirm=other).status == "SKIPPED_NONEMPTY"
+        assert [tuple(r) for r in goal.read().collect()] == [(5, "x")]
+
+
+def test_copy_of_a_partitioned_production_table(spark, tmp_path):
+    def side(name, by):
+        return Destination(name, TableRef(str(tmp_path / f"{name}s")), TableRef(str(tmp_path / name), partition_by=by))
+
+    spec = LoadSpec("l", "L", (SourceFile("f", "*"),), (side("des1", ("flag",)), side("des2", ("flag",))))
+    open_table(spark, spec.destinations[0].prod.path, ("flag",)).overwrite(flagged(spark))
+    open_table(spark, spec.destinations[1].prod.path, ("flag",)).overwrite(flagged(spark, 0))
+    done = copy_prod_table(spark, spec)
+    assert (done.status, done.source_rows, done.rows_copied) == ("COPIED", 100, 100)
+    assert open_table(spark, spec.destinations[1].prod.path, ("flag",)).count() == 100

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import promote
 from tidemark.operators.archive import rearchive
-from tidemark.operators.backfill import fit_to_target
+from tidemark.operators.backfill import copy_prod_table, fit_to_target
 from tidemark.operators.guards import check_keys
 from tidemark.queries.base import query, scratch, table
 from tidemark.queries.ingest import DEDUP_SQL, LINE_KEY, deduped_lines
-from tidemark.sources.tables import PartitionedTable, Table
+from tidemark.plans.spec import Destination, LoadSpec, SourceFile, TableRef
+from tidemark.sources.tables import PartitionedTable, Table, open_table
 
 LINE_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
@@ -234,11 +235,43 @@ def trailing_archive(spark, sf_dir):
 
 @query("SELECT o_totalprice, o_orderkey, CAST(NULL AS VARCHAR) AS comment, o_orderstatus FROM orders")
 def backfill_copy(spark, sf_dir):
-    """Shared columns in the target's order; the rest of the target stays NULL."""
+    """Shared columns in the target's order; the rest of the target stays NULL."""
     target = spark.createDataFrame([], "o_totalprice double, o_orderkey long, comment string, o_orderstatus string")
     return fit_to_target(table(spark, sf_dir, "orders"), target)
 
 
+@query(
+    """
+WITH o AS (SELECT CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN '' ELSE o_orderpriority END AS grade, o_orderkey, o_totalprice FROM orders)
+SELECT 'gaps' AS copy, o_totalprice, CAST(NULL AS VARCHAR) AS comment, grade, o_orderkey FROM o WHERE grade IS DISTINCT FROM '1-URGENT'
+UNION ALL SELECT 'gaps', o_totalprice, 'held', grade, o_orderkey FROM o WHERE grade = '1-URGENT' AND o_orderkey % 2 = 0
+UNION ALL SELECT 'plain', o_totalprice, NULL, grade, o_orderkey FROM o
+"""
+)
+def backfill_copy_parts(spark, sf_dir):
+    """A production table kept by partitions, copied into one that already holds a partition, and into
+    one without partitions."""
+    home = scratch(spark, "backfill_copy_parts")
+    by = ("grade",)
+    layouts = {"des1": by, "gaps": by, "plain": ()}
+    places = tuple(Destination(name, TableRef(f"{home}/{name}-staging"), TableRef(f"{home}/{name}", partition_by=kept)) for name, kept in layouts.items())
+    spec = LoadSpec("order", "Order", (SourceFile(home, "*"),), places)
+    origin, gaps, plain = (open_table(spark, place.prod.path, place.prod.partition_by) for place in places)
+    # Grades that are missing and empty are partitions of their own.
+    status = F.col("o_orderstatus")
+    grade = F.when(status == "P", F.lit(None)).when(status == "F", "").otherwise(F.col("o_orderpriority")).alias("grade")
+    origin.overwrite(table(spark, sf_dir, "orders").select("o_orderkey", grade, "o_totalprice", "o_custkey"))
+    held = origin.read().where("grade = '1-URGENT' and o_orderkey % 2 = 0")
+    shaped = held.select("o_totalprice", F.lit("held").alias("comment"), "grade", "o_orderkey")
+    gaps.overwrite(shaped)
+    plain.overwrite(shaped.limit(0))
+    for name, options in (("gaps", {"fill_gaps": True}), ("plain", {})):
+        done = copy_prod_table(spark, spec, target=name, **options)
+        if done.status != "COPIED":
+            raise RuntimeError(done.message)
+    return gaps.read().select(F.lit("gaps").alias("copy"), "*").unionByName(plain.read().select(F.lit("plain").alias("copy"), "*"))
+
+
 @query(
     SETUP
     + f"""

@@ -32,6 +32,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def listed(spark: SparkSession, path: str) -> frozenset[str]:
+    """Names of the data files in a folder, asked of its file system without a Spark job; none without it."""
+    if not path_exists(spark, path):
+        return frozenset()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = (status.getPath().getName() for status in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target))
+    return frozenset(name for name in names if not name.startswith(("_", ".")))
+
+
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A catalog table or view by name, or a parquet path; only ``columns`` are read."""
     frame = spark.read.parquet(name) if "/" in name else spark.table(name)
@@ -100,11 +109,12 @@ def write_counted(frame: DataFrame, path: str) -> int:
 
 @dataclass(frozen=True)
 class Staged:
-    """A written, not yet visible state of a table."""
+    """A written, not yet visible state of a table; ``parts`` are the commit rows of a partitioned one."""
 
     version: int
     folder: str
     rows: int
+    parts: tuple = ()
 
 
 class Table:
@@ -113,13 +123,16 @@ class Table:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self._seen, self._known = frozenset(), None
 
     def _last_commit(self):
-        if not path_exists(self.spark, f"{self.path}/commits"):
-            return None
-        log = self.spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.path}/commits")
-        rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
+        """The newest commit row. The log is read again only when it has grown."""
+        seen = listed(self.spark, f"{self.path}/commits")
+        if seen != self._seen:
+            log = self.spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.path}/commits")
+            rows = log.orderBy(F.col("version").desc()).limit(1).collect()
+            self._known, self._seen = rows[0] if rows else None, seen
+        return self._known
 
     def exists(self) -> bool:
         return self._last_commit() is not None
@@ -171,7 +184,7 @@ class Table:
         return self.commit(self.stage(frame))
 
 
-_PART, _COMMITTED_PARTS = "_part", "version long, part string, folder string, rows long, columns string"
+PART, _COMMITTED_PARTS = "_part", "version long, part string, folder string, rows long, columns string"
 
 
 class PartitionedTable:
@@ -185,22 +198,29 @@ class PartitionedTable:
 
     def __init__(self, spark: SparkSession, path: str, by: Sequence[str]) -> None:
         self.spark, self.path, self.by = spark, path.rstrip("/"), tuple(by)
+        self._seen, self._known = frozenset(), []
 
     def parts_of(self, frame: DataFrame) -> DataFrame:
         """The frame with the name of each row's partition."""
-        return frame.withColumn(_PART, F.sha2(F.to_json(F.struct(*as_columns(self.by)), {"ignoreNullFields": "false"}), 256))
+        return frame.withColumn(PART, F.sha2(F.to_json(F.struct(*as_columns(self.by)), {"ignoreNullFields": "false"}), 256))
 
     def named(self, frame: DataFrame) -> list[str]:
         """Names of the partitions that a frame falls in: no more than the table has, or will have."""
-        return sorted(row[0] for row in self.parts_of(frame.select(*as_columns(self.by))).select(_PART).distinct().collect())
+        return sorted(row[0] for row in self.parts_of(frame.select(*as_columns(self.by))).select(PART).distinct().collect())
+
+    def count_parts(self, frame: DataFrame) -> dict[str, int]:
+        """Rows of a frame by the partition they fall in."""
+        return dict(self.parts_of(frame.select(*as_columns(self.by))).groupBy(PART).count().collect())
 
     def _states(self) -> list:
-        """The last commit row of every partition; none before the first commit."""
-        if not path_exists(self.spark, f"{self.path}/commits"):
-            return []
-        log = self.spark.read.schema(_COMMITTED_PARTS).parquet(f"{self.path}/commits")
-        last = log.groupBy("part").agg(F.max_by(F.struct("version", "folder", "rows", "columns"), "version").alias("last"))
-        return last.select("part", "last.*").collect()
+        """The last commit row of every partition; none before the first commit. The log is read again only
+        when it has grown."""
+        seen = listed(self.spark, f"{self.path}/commits")
+        if seen != self._seen:
+            log = self.spark.read.schema(_COMMITTED_PARTS).parquet(f"{self.path}/commits")
+            last = log.groupBy("part").agg(F.max_by(F.struct("version", "folder", "rows", "columns"), "version").alias("last"))
+            self._known, self._seen = last.select("part", "last.*").collect(), seen
+        return self._known
 
     def exists(self) -> bool:
         return bool(self._states())
@@ -212,31 +232,35 @@ class PartitionedTable:
         """Rows of each partition by its name."""
         return {state.part: state.rows for state in self._states()}
 
+    def schema(self) -> T.StructType:
+        """Columns of the last state that was written."""
+        return T.StructType.fromJson(json.loads(max(self._states(), key=lambda state: state.version).columns))
+
     def read(self, parts: Sequence[str] | None = None) -> DataFrame | None:
         """All rows, or those of the named partitions, whose folders alone are listed; None before the
         first commit."""
         states = self._states()
         if not states:
             return None
-        schema = T.StructType.fromJson(json.loads(max(states, key=lambda state: state.version).columns))
+        schema = self.schema()
         wanted = None if parts is None else set(parts)
         folders = [f"{self.path}/{s.folder}" for s in states if s.rows and (wanted is None or s.part in wanted)]
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-    def overwrite(self, frame: DataFrame, parts: Sequence[str] | None = None) -> int:
-        """Make ``frame`` the state of the named partitions (or of all there are); a partition without rows
-        becomes empty. Every row must fall in one of them."""
+    def stage(self, frame: DataFrame, parts: Sequence[str] | None = None) -> Staged:
+        """Write ``frame`` as the next state of the named partitions (or of all there are); a partition
+        without rows becomes empty. Every row must fall in one of them. Nothing is visible yet."""
         states = self._states()
         version = 1 + max((state.version for state in states), default=0)
         target = f"{self.path}/v{version:08d}"
         seen = Observation()
         named = self.parts_of(frame).observe(seen, F.count(F.lit(1)).alias("rows"))
-        named.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART).parquet(target)
+        named.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(target)
         prepared, landed = int(seen.get["rows"]), {}
         if prepared:
             # Names are hex digests, which inference could take for numbers.
-            schema = T.StructType([*frame.schema, T.StructField(_PART, T.StringType())])
-            landed = {row[0]: row[1] for row in self.spark.read.schema(schema).parquet(target).groupBy(_PART).count().collect()}
+            schema = T.StructType([*frame.schema, T.StructField(PART, T.StringType())])
+            landed = {row[0]: row[1] for row in self.spark.read.schema(schema).parquet(target).groupBy(PART).count().collect()}
         if sum(landed.values()) != prepared:
             raise PartialLoadError(f"PARTIAL STAGING LOAD: {sum(landed.values())} rows landed in {self.path}, {prepared} were prepared.")
         replaced = {state.part for state in states} if parts is None else set(parts)
@@ -244,11 +268,24 @@ class PartitionedTable:
         if stray:
             raise ValueError(f"{len(stray)} partition(s) of the new rows are not among those to be replaced")
         columns = frame.schema.json()
-        rows = [(version, part, f"v{version:08d}/{_PART}={part}", landed.get(part, 0), columns) for part in sorted(replaced | set(landed))]
+        rows = [(version, part, f"v{version:08d}/{PART}={part}", landed.get(part, 0), columns) for part in sorted(replaced | set(landed))]
         # An empty first state is a commit too.
-        rows = rows or [(version, "", "", 0, columns)]
-        self.spark.createDataFrame(rows, _COMMITTED_PARTS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        return prepared
+        return Staged(version, f"v{version:08d}", prepared, tuple(rows or [(version, "", "", 0, columns)]))
+
+    def commit(self, staged: Staged) -> int:
+        """Make all staged partitions visible together."""
+        rows = self.spark.createDataFrame(list(staged.parts), _COMMITTED_PARTS)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        return staged.rows
+
+    def overwrite(self, frame: DataFrame, parts: Sequence[str] | None = None) -> int:
+        """Make ``frame`` the state of the named partitions, or of the table."""
+        return self.commit(self.stage(frame, parts))
+
+
+def open_table(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> Table | PartitionedTable:
+    """A table where it is kept, in the layout it is kept in."""
+    return PartitionedTable(spark, path, partition_by) if partition_by else Table(spark, path)
 
 
 def rows_of(frame: DataFrame, name: str = "row_count") -> DataFrame:
