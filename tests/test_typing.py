@@ -103,3 +103,26 @@ def test_mixed_shapes(spark):
     frame = spark.createDataFrame(list(shapes.items()), "given string, wanted string")
     got = frame.select("given", ty.to_datetime(F.col("given")).alias("g"), F.col("wanted").cast("timestamp_ntz").alias("w")).collect()
     assert {row.given: row.g for row in got} == {row.given: row.w for row in got}
+
+
+def test_every_mixed_format_has_shapes_of_its_own():
+    seen = {}
+    for fmt in ty.MIXED_DATE_FORMATS:
+        for shape in ty.shapes_of_format(fmt):
+            seen.setdefault(shape, []).append(fmt)
+    # Only "May" is the same in short and in full.
+    assert {tuple(formats) for formats in seen.values() if len(formats) > 1} == {("%b %d, %Y", "%B %d, %Y"), ("%d %b %Y", "%d %B %Y")}
+
+
+def test_shapes_choose_the_format(spark):
+    stamp = dt.datetime(2024, 5, 7, 9, 8, 6)
+    rows_ = [
+        ("5/7/2024", "9/9/Y", dt.datetime(2024, 5, 7)), ("20240507", "YY", dt.datetime(2024, 5, 7)), ("May 7, 2024", "aaa 9, Y", dt.datetime(2024, 5, 7)),
+        ("September 7, 2024", "NNa 9, Y", dt.datetime(2024, 9, 7)), ("05/07/2024 09:08:06 am", "9/9/Y 9:9:9 aa", stamp),
+        ("2024-05-07T09:08:06", "Y-9-9a9:9:9", stamp), ("2024-05-07 09:08:06.250000", "Y-9-9 9:9:9.Y9", stamp.replace(microsecond=250000)),
+        ("13/45/2024", "9/9/Y", None), ("2024.05.07", "Y.9.9", None), ("٢٠٢٤-05-07", "٢٠٢٤-9-9", None), ("", "", None), (None, None, None),
+    ]
+    frame = spark.createDataFrame([(k, text) for k, (text, _, _) in enumerate(rows_)], "k int, c string")
+    parsed = ty.parse_stamp(F.col("c"), ty.MIXED_DATE_FORMATS)
+    got = frame.select("k", ty.shape_of(F.col("c")).alias("shape"), parsed.alias("stamp")).orderBy("k").collect()
+    assert [(r.shape, r.stamp) for r in got] == [(shape, stamp) for _, shape, stamp in rows_]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -80,19 +81,41 @@ def blank_to_null(name: str) -> Column:
     return F.expr(f"CASE WHEN {quoted(name)} NOT IN ({tokens}) THEN {quoted(name)} END").alias(name)
 
 
-def _fits_shape(c: Column, fmt: str) -> Column:
-    """Whether a value has the separators of a format and no others, and ends in AM or PM if it must.
+# How a shape is written: every digit a 9 and every letter an a, then the commonest runs as one sign.
+_LETTERS = "".join(chr(code) for code in (*range(65, 91), *range(97, 123)))
+_RUNS = (("9999", "Y"), ("99", "9"), ("aaaa", "N"))
+# Digits a directive takes, or letters; month names in full have three to nine.
+_DIGITS = {"%Y": (4,), "%y": (2,), "%f": range(1, 7), **dict.fromkeys(("%m", "%d", "%H", "%I", "%M", "%S"), (1, 2))}
+_NAMES = {"%b": (3,), "%B": range(3, 10), "%p": (2,)}
 
-    Trying a format on a value it cannot read costs an exception; this costs a few searches.
-    """
-    halves = F.substring(c, -1, 1).isin("M", "m")
-    fits = halves if "%p" in fmt else ~halves
-    named = c.rlike("[A-Za-z]{3}")
-    fits = fits & (named if "%b" in fmt or "%B" in fmt else ~named)
-    for separator in "/-:T.":
-        found = c.contains(separator)
-        fits = fits & (found if separator in re.sub(r"%.", "", fmt) else ~found)
-    return fits
+
+def shape_of(c: Column) -> Column:
+    """A value's shape: where its digits, letters and separators stand. Values of one date format have few
+    shapes, whatever their number, and no two of :data:`MIXED_DATE_FORMATS` share one that both could read."""
+    shape = F.translate(c, "0123456789" + _LETTERS, "9" * 10 + "a" * len(_LETTERS))
+    for run, sign in _RUNS:
+        shape = F.replace(shape, F.lit(run), F.lit(sign))
+    return shape
+
+
+@lru_cache(maxsize=None)
+def shapes_of_format(fmt: str) -> tuple[str, ...]:
+    """Every shape that a value of a format can have."""
+    pieces = re.findall(r"%.|[^%]+", fmt)
+    touching = any(a.startswith("%") and b.startswith("%") for a, b in zip(pieces, pieces[1:]))
+    shapes = {""}
+    for piece in pieces:
+        if piece in _DIGITS:
+            widths = _DIGITS[piece]
+            parts = ["9" * width for width in (widths[-1:] if touching else widths)]
+        elif piece in _NAMES:
+            parts = ["a" * width for width in _NAMES[piece]]
+        else:
+            parts = ["".join("a" if sign in _LETTERS else sign for sign in piece)]
+        shapes = {shape + part for shape in shapes for part in parts}
+    for run, sign in _RUNS:
+        shapes = {shape.replace(run, sign) for shape in shapes}
+    return tuple(sorted(shapes))
 
 
 def _attempt(c: Column, fmt: str) -> Column:
@@ -104,11 +127,16 @@ def _attempt(c: Column, fmt: str) -> Column:
 
 
 def parse_stamp(c: Column, formats: Sequence[str]) -> Column:
-    """The first format that reads the value, as a zone-less timestamp; else NULL."""
-    tries = [_attempt(c, fmt) for fmt in formats]
-    if len(formats) > 1:
-        tries = [F.when(_fits_shape(c, fmt), attempt) for fmt, attempt in zip(formats, tries)]
-    stamp = F.coalesce(*tries).cast(T.TimestampNTZType())
+    """The value by the format of its shape (of formats that share one, the first), as a zone-less timestamp;
+    NULL where it has none or cannot be read by it."""
+    if len(formats) == 1:
+        stamp = _attempt(c, formats[0])
+    else:
+        # The shape names the format, so a value is parsed at most once, and not at all in an unknown shape.
+        shape, stamp = shape_of(c), F
+        for fmt in formats:
+            stamp = stamp.when(shape.isin(*shapes_of_format(fmt)), _attempt(c, fmt))
+    stamp = stamp.cast(T.TimestampNTZType())
     low = F.lit(FIRST_DAY).cast(T.TimestampNTZType())
     high = F.lit(LAST_DAY).cast(T.TimestampNTZType())
     return F.when(stamp.between(low, high), stamp)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
-from tidemark.functions.typing import as_columns, varchar_limit
+from tidemark.functions.typing import MIXED_DATE_FORMATS, as_columns, parse_stamp, shape_of, varchar_limit
 
 log = logging.getLogger("tidemark")
 
@@ -130,6 +130,19 @@ def unmapped(frame: DataFrame, key: str, mapping: DataFrame, required: Sequence[
     return keys.alias("f").join(complete.alias("m"), col(key, "f") == col(key, "m"), "left_anti")
 
 
+def unread_shapes(frame: DataFrame, columns: Sequence[str], formats: Sequence[str] | None = None) -> DataFrame:
+    """Values of text columns that no date format reads, counted by column and shape, with the least of them.
+
+    Blank values are not asked. Without ``formats`` the mixed ones are meant.
+    """
+    entries = F.array(*(F.struct(F.lit(name).alias("column_name"), col(name).alias("value")) for name in columns))
+    values = frame.select(F.inline(entries)).where(F.col("value").isNotNull())
+    unread = values.where(parse_stamp(F.col("value"), formats or MIXED_DATE_FORMATS).isNull())
+    return unread.groupBy("column_name", shape_of(F.col("value")).alias("shape")).agg(
+        F.count(F.lit(1)).alias("unread"), F.min("value").alias("example")
+    )
+
+
 def missing_columns(present: Sequence[str], required: Sequence[str], optional: Sequence[str] = ()) -> str | None:
     """Fail on a missing required column; return a warning for missing optional ones."""
     absent = sorted(set(required) - set(present))

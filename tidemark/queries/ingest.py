@@ -129,6 +129,52 @@ def mixed_dates(spark, sf_dir):
     return one.select("o_orderkey", *(F.col(name).cast("string").alias(name) for name in ("by_mixed", "cut", "by_one_format")))
 
 
+# The Spark patterns of all mixed shapes, written out, and two shapes that none of them reads.
+DATE_SHAPES = (
+    "MM/dd/yyyy", "yyyyMMdd", "yyyy-MM-dd", "MM/dd/yyyy hh:mm:ss a", "MM/dd/yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy/MM/dd", "M/d/yy", "MM-dd-yyyy", "M/d/yyyy HH:mm", "M/d/yyyy h:mm a", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "MM/dd/yyyy HH:mm:ss.SSSSSS", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy",
+    "d MMM yyyy", "d MMMM yyyy", "dd-MMM-yyyy",
+)
+ODD_SHAPES = ("yyyy.MM.dd", "'week' d 'of' yyyy")
+
+
+def dates_in_all_shapes(spark, sf_dir):
+    """Order dates as text, each in the shape that its key chooses."""
+    patterns = [*DATE_SHAPES, *ODD_SHAPES]
+    place = F.col("o_orderkey") % len(patterns)
+    shaped = F
+    for k, pattern in enumerate(patterns):
+        shaped = shaped.when(place == k, F.date_format("o_orderdate", pattern))
+    return table(spark, sf_dir, "orders").select("o_orderkey", shaped.alias("Order.Date"))
+
+
+@query(
+    """
+SELECT o_orderkey, CASE WHEN o_orderkey % 26 < 24 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE '1900-01-01' END AS "Order.Date"
+FROM orders
+"""
+)
+def date_shapes(spark, sf_dir):
+    """all known shapes in one column; an unknown one becomes the sentinel."""
+    typed = shape.apply_types(dates_in_all_shapes(spark, sf_dir), {"Order.Date": "date"})
+    return typed.select("o_orderkey", F.col("`Order.Date`").cast("string").alias("Order.Date"))
+
+
+@query(
+    """
+WITH odd AS (
+  SELECT CASE WHEN o_orderkey % 26 = 24 THEN strftime(o_orderdate, '%Y.%m.%d') ELSE 'week ' || day(o_orderdate) || ' of ' || year(o_orderdate) END AS value,
+         CASE WHEN o_orderkey % 26 = 24 THEN 'Y.9.9' ELSE 'N 9 aa Y' END AS shape
+  FROM orders WHERE o_orderkey % 26 >= 24)
+SELECT 'Order.Date' AS column_name, shape, count(*) AS unread, min(value) AS example FROM odd GROUP BY shape
+"""
+)
+def unread_date_shapes(spark, sf_dir):
+    """values of unknown shape, counted by shape."""
+    return guards.unread_shapes(dates_in_all_shapes(spark, sf_dir), ["Order.Date"])
+
+
 @query(
     """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END AS status,
