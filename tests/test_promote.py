@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows, values
 from tidemark.operators import promote as pr
-from tidemark.sources.tables import PartialLoadError, PartitionedTable
+from tidemark.sources.tables import BucketedTable, PartialLoadError, PartitionedTable
 
 SCHEMA = "h string, n int, q double, s date"
 D1, D2, D3 = dt.date(2026, 1, 1), dt.date(2026, 1, 2), dt.date(2026, 1, 3)
@@ -221,3 +221,65 @@ def test_staging_is_sized_by_the_engine(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "Broadcast" not in text
     assert values(pr.promote(prod, prod, "pk_delete_insert", keys=KEY).selectExpr("count(*)")) == [1000]
+
+
+def stored_sides(spark, tmp_path, prod, stg):
+    prod.write.parquet(str(tmp_path / "prod"))
+    stg.write.parquet(str(tmp_path / "stg"))
+    return spark.read.parquet(str(tmp_path / "prod")), spark.read.parquet(str(tmp_path / "stg"))
+
+
+def test_merging_reads_production_once(spark, tmp_path, prod, stg):
+    prod, stg = stored_sides(spark, tmp_path, prod.withColumn("own", F.lit("kept")), stg)
+    now = F.lit("2026-01-02").cast("timestamp_ntz")
+    aged = prod.withColumns({"ErrorStatus": F.lit("New"), "LastUpdate": now})
+    for merged in (pr.merge(prod, stg, KEY), pr.lifecycle_merge(aged, stg, KEY, now)):
+        text = plan(merged)
+        assert text.count("/prod]") == 1 and text.count("/stg]") == 1 and "FullOuter" in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_merging_with_a_hot_key_and_repeats(spark):
+    # A third of production has no key, as many staging rows meet it as repeat; the rest matches one to one.
+    prod = spark.range(3000).selectExpr("if(id % 3 = 0, null, cast(id as string)) as h", "id as q", "'own' as own")
+    stg = spark.createDataFrame([(None, -1), ("1", -2), ("1", -3), ("new", -4)], "h string, q long")
+    got = [tuple(r) for r in pr.merge(prod, stg, ["h"]).collect()]
+    stored = [(None if k % 3 == 0 else str(k), k, "own") for k in range(3000)]
+    wanted = [(h, -1 if h is None else q, own) for h, q, own in stored if h != "1"] + [("1", -2, "own"), ("1", -3, "own"), ("new", -4, None)]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    now = F.lit("2026-01-02").cast("timestamp_ntz")
+    life = pr.lifecycle_merge(prod.withColumns({"ErrorStatus": F.lit("New"), "LastUpdate": now}), stg, ["h"], now)
+    counts = {r.ErrorStatus: r["count"] for r in life.groupBy("ErrorStatus").count().collect()}
+    assert counts == {"Persisting": 1000 + 2, "New": 1, "Resolved": 3000 - 1001}
+
+
+@pytest.mark.parametrize("strategy", ["pk_delete_insert", "pk_delete_insert_on_header", "versioned_delete_insert", "pk_merge"])
+def test_buckets_move_no_production(spark, tmp_path, prod, stg, strategy):
+    options = {"keys": KEY, "header_key": ["h"], "stamps": ["s"]}
+    key = pr.matched_key(strategy, KEY, ["h"], ["s"])
+    stg = stg.where("n is not null")
+    if strategy == "pk_merge":
+        prod = prod.withColumn("own", F.lit("kept"))
+    wanted = rows(pr.promote(prod, stg, strategy, **options))
+    kept, staged = (BucketedTable(spark, str(tmp_path / name), key, 4) for name in ("prod", "stg"))
+    kept.overwrite(prod)
+    staged.overwrite(stg)
+    assert not pr.has_null_keys(staged.read(), key)
+    changed = pr.promote(kept.read(), staged.read(), strategy, **options, null_keys=False)
+    assert "Exchange" not in plan(changed)
+    kept.overwrite(changed)
+    assert rows(kept.read()) == wanted and kept.count() == len(wanted)
+
+
+def test_buckets_with_null_keys_and_a_new_session(spark, tmp_path, prod, stg):
+    table = BucketedTable(spark, str(tmp_path / "t"), KEY, 4)
+    assert table.read() is None and not table.exists()
+    table.overwrite(prod)
+    assert pr.has_null_keys(stg, KEY)
+    changed = pr.promote(table.read(), stg, "pk_delete_insert", keys=KEY, null_keys=True)
+    table.overwrite(changed)
+    assert rows(table.read()) == rows(pr.promote(prod, stg, "pk_delete_insert", keys=KEY))
+    spark.sql(f"DROP TABLE {table._name(table._last_commit().folder)}")
+    again = BucketedTable(spark, table.path, KEY, 4)
+    assert rows(again.read(["h"])) == rows(table.read(), "h")
+    with pytest.raises(ValueError, match="without moving"):
+        pr.check_bucketing(["h"], KEY)

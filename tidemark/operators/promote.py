@@ -2,9 +2,11 @@
 
 Every function takes the production frame and the staging frame and returns the next
 production frame; nothing is written here. Staging is a window of changes and production is
-the long history, so production meets staging through semi, anti and left joins with production on
-the streamed side. The engine sizes the staged keys: a small side is broadcast, otherwise both sides are
-shuffled on the key and a hot header is split by the adaptive skew join.
+the long history. Replacing strategies join production to the staged keys with production on
+the streamed side: the engine sizes the keys, broadcasts a small side, otherwise shuffles both sides on the key
+and splits a hot header by the adaptive skew join. Merging ones need both sides' rows and match them in one full
+outer join. A table kept by partitions is read only where staging falls; one kept in buckets of the key is
+not exchanged at all (:mod:`tidemark.sources.tables`).
 
 Keys match NULL to NULL. The exact bodies of the promotion jobs are not published; the
 strategies follow their written definitions.
@@ -34,9 +36,20 @@ STRATEGIES = (
 
 NEW, PERSISTING, RESOLVED = "New", "Persisting", "Resolved"
 
-def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
-    """Null-safe equality of the key columns of two aliased frames."""
-    return reduce(lambda a, b: a & b, (col(key, left).eqNullSafe(col(key, right)) for key in keys))
+def same_key(left: str, right: str, keys: Sequence[str], null_keys: bool = True) -> Column:
+    """Equality of the key columns of two aliased frames; NULL matches NULL, unless ``null_keys`` is off."""
+
+    def same(key: str) -> Column:
+        ours, theirs = col(key, left), col(key, right)
+        return ours.eqNullSafe(theirs) if null_keys else ours == theirs
+
+    return reduce(lambda a, b: a & b, map(same, keys))
+
+
+def has_null_keys(stg: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any staged key has a NULL part. If none has, NULLs of production match nothing either way, and
+    plain equality, which buckets can serve, says the same."""
+    return not stg.where(reduce(lambda a, b: a | b, (col(key).isNull() for key in keys))).isEmpty()
 
 
 def _check_columns(prod: DataFrame, stg: DataFrame) -> None:
@@ -55,9 +68,13 @@ def matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
     return prod.alias("p").join(distinct_keys(stg, keys).alias("s"), same_key("p", "s", keys), "left_semi")
 
 
-def not_matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+def not_matching(prod: DataFrame, stg: DataFrame, keys: Sequence[str], null_keys: bool = True) -> DataFrame:
     """Production rows whose key is not in staging."""
-    return prod.alias("p").join(distinct_keys(stg, keys).alias("s"), same_key("p", "s", keys), "left_anti")
+    staged = distinct_keys(stg, keys)
+    if not null_keys:
+        # Sides in buckets of the key meet bucket by bucket; a broadcast would mix the buckets for the write.
+        staged = staged.hint("merge")
+    return prod.alias("p").join(staged.alias("s"), same_key("p", "s", keys, null_keys), "left_anti")
 
 
 def truncate_insert(prod: DataFrame | None, stg: DataFrame) -> DataFrame:
@@ -66,7 +83,7 @@ def truncate_insert(prod: DataFrame | None, stg: DataFrame) -> DataFrame:
 
 
 def delete_insert(
-    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str]
+    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], null_keys: bool = True
 ) -> DataFrame:
     """Delete the production rows that match staging on ``keys``, then insert all of staging.
 
@@ -76,32 +93,40 @@ def delete_insert(
     if prod is None:
         return stg
     _check_columns(prod, stg)
-    kept = not_matching(prod, stg, keys)
+    kept = not_matching(prod, stg, keys, null_keys)
     return kept.unionByName(stg, allowMissingColumns=True).select(*as_columns(prod.columns))
 
 
 def versioned_delete_insert(
-    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], stamps: Sequence[str]
+    prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], stamps: Sequence[str], null_keys: bool = True
 ) -> DataFrame:
     """:func:`delete_insert` on the key and the version stamps."""
-    return delete_insert(prod, stg, [*keys, *stamps])
+    return delete_insert(prod, stg, [*keys, *stamps], null_keys)
 
 
-def merge(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge(prod: DataFrame | None, stg: DataFrame, keys: Sequence[str], null_keys: bool = True) -> DataFrame:
     """Upsert: matched rows take the staging values and keep the columns staging lacks."""
     if prod is None:
         return stg
     _check_columns(prod, stg)
-    own = [name for name in prod.columns if name not in stg.columns]
-    if not own:
-        return delete_insert(prod, stg, keys)
-    carried = matching(prod.select(*as_columns([*keys, *own])), stg, keys)
-    upserted = (
-        stg.alias("s")
-        .join(carried.alias("c"), same_key("s", "c", keys), "left")
-        .select(*(col(name, "c" if name in own else "s").alias(name) for name in prod.columns))
+    if not set(prod.columns) - set(stg.columns):
+        return delete_insert(prod, stg, keys, null_keys)
+    staged = F.col("s._staged").isNotNull()
+    return _matched(prod, stg, keys, null_keys).select(
+        *(
+            (F.when(staged, col(name, "s")).otherwise(col(name, "p")) if name in stg.columns else col(name, "p")).alias(name)
+            for name in prod.columns
+        )
     )
-    return not_matching(prod, stg, keys).unionByName(upserted)
+
+
+def _matched(prod: DataFrame, stg: DataFrame, keys: Sequence[str], null_keys: bool = True) -> DataFrame:
+    """Production ``p`` and staging ``s`` side by side by key, rows without a partner too; ``p._stored`` and
+    ``s._staged`` tell which sides a row has. Each side is read once and exchanged once (not at all where it
+    is bucketed by the key)."""
+    left = prod.select(*as_columns(prod.columns), F.lit(True).alias("_stored")).alias("p")
+    right = stg.select(*as_columns(stg.columns), F.lit(True).alias("_staged")).alias("s")
+    return left.join(right, same_key("p", "s", keys, null_keys), "full_outer")
 
 
 def filter_active(prod: DataFrame | None, stg: DataFrame, where: Sequence[str]) -> DataFrame:
@@ -139,29 +164,21 @@ def lifecycle_merge(
     """Stamp keys New, Persisting or Resolved; nothing is deleted.
 
     Matched rows take the staging values. Rows gone from staging are stamped Resolved again on
-    each run. This is a full outer match, split in two so that production is only streamed:
-    once whole against staging, once key columns only to find what is new.
+    each run. One full outer match tells all three.
     """
     if prod is None:
         return stg.select(*as_columns(stg.columns), F.lit(NEW).alias(status), now.alias(stamp))
     _check_columns(prod, stg)
-    marked = stg.select(*as_columns(stg.columns), F.lit(True).alias("_open"))
-    joined = prod.alias("p").join(marked.alias("s"), same_key("p", "s", keys), "left")
-    still_open = F.col("s._open").isNotNull()
+    is_open, was_there = F.col("s._staged").isNotNull(), F.col("p._stored").isNotNull()
 
     def value(name: str) -> Column:
         if name == status:
-            return F.when(still_open, PERSISTING).otherwise(RESOLVED).alias(name)
+            return F.when(is_open & was_there, PERSISTING).when(is_open, NEW).otherwise(RESOLVED)
         if name == stamp:
-            return now.alias(name)
-        if name in stg.columns:
-            return F.when(still_open, col(name, "s")).otherwise(col(name, "p")).alias(name)
-        return col(name, "p")
+            return now
+        return F.when(is_open, col(name, "s")).otherwise(col(name, "p")) if name in stg.columns else col(name, "p")
 
-    seen = matching(prod.select(*as_columns(keys)), stg, keys)
-    fresh = not_matching(stg, seen, keys)
-    fresh = fresh.select(*as_columns(stg.columns), F.lit(NEW).alias(status), now.alias(stamp))
-    return joined.select(*(value(name) for name in prod.columns)).unionByName(fresh, allowMissingColumns=True)
+    return _matched(prod, stg, keys).select(*(value(name).alias(name) for name in prod.columns))
 
 
 def status_snapshot(
@@ -184,6 +201,15 @@ def status_snapshot(
     return stats.where(~F.col("ReportDate").eqNullSafe(report_date)).unionByName(today)
 
 
+def matched_key(strategy: str, keys: Sequence[str], header_key: Sequence[str] = (), stamps: Sequence[str] = ()) -> list[str]:
+    """The columns on which a strategy matches production and staging; none for one that does not match."""
+    if strategy in {"truncate_insert", "filter_active"}:
+        return []
+    if strategy == "pk_delete_insert_on_header":
+        return [*header_key]
+    return [*keys, *stamps] if strategy == "versioned_delete_insert" else [*keys]
+
+
 def promote(
     prod: DataFrame | None,
     stg: DataFrame,
@@ -192,9 +218,11 @@ def promote(
     keys: Sequence[str] = (),
     header_key: Sequence[str] = (),
     stamps: Sequence[str] = ("create stamp", "update stamp"),
-    where: Sequence[str] = ()
+    where: Sequence[str] = (),
+    null_keys: bool = True
 ) -> DataFrame:
-    """The next production frame under a strategy by name."""
+    """The next production frame under a strategy by name. ``null_keys`` may be turned off where no staged key
+    has a NULL part (:func:`has_null_keys`)."""
     if strategy == "truncate_insert":
         return truncate_insert(prod, stg)
     if strategy == "filter_active":
@@ -202,15 +230,15 @@ def promote(
     if not keys:
         raise ValueError(f"{strategy} needs key columns.")
     if strategy == "pk_merge":
-        return merge(prod, stg, keys)
+        return merge(prod, stg, keys, null_keys)
     if strategy == "pk_delete_insert":
-        return delete_insert(prod, stg, keys)
+        return delete_insert(prod, stg, keys, null_keys)
     if strategy == "pk_delete_insert_on_header":
         if not header_key or [*keys][: len(header_key)] != [*header_key]:
             raise ValueError(f"header_key {list(header_key)} must be a prefix of the key {list(keys)}.")
-        return delete_insert(prod, stg, header_key)
+        return delete_insert(prod, stg, header_key, null_keys)
     if strategy == "versioned_delete_insert":
-        return versioned_delete_insert(prod, stg, keys, stamps)
+        return versioned_delete_insert(prod, stg, keys, stamps, null_keys)
     raise ValueError(f"no strategy {strategy!r}; there are {', '.join(STRATEGIES)}")
 
 
@@ -231,6 +259,12 @@ def rewrite_partitions(
 
 def check_partitioning(strategy: str, partition_by: Sequence[str], keys: Sequence[str], header_key: Sequence[str]) -> None:
     """A strategy may run by partitions only when it matches on the partition columns."""
-    matched = header_key if strategy == "pk_delete_insert_on_header" else keys
-    if strategy in {"truncate_insert", "filter_active"} or not set(partition_by) <= set(matched):
+    matched = matched_key(strategy, keys, header_key)
+    if not matched or not set(partition_by) <= set(matched):
         raise ValueError(f"{strategy} on {list(matched)} cannot be done by partitions of {list(partition_by)}.")
+
+
+def check_bucketing(bucket_by: Sequence[str], matched: Sequence[str]) -> None:
+    """Buckets save the exchange only when they are those of the whole matched key."""
+    if list(bucket_by) != list(matched):
+        raise ValueError(f"a table in buckets of {list(bucket_by)} cannot be matched on {list(matched)} without moving it.")

@@ -14,10 +14,10 @@ from tidemark.operators import promote
 from tidemark.operators.archive import rearchive
 from tidemark.operators.backfill import copy_prod_table, fit_to_target
 from tidemark.operators.guards import check_keys
-from tidemark.queries.base import query, scratch, table
+from tidemark.queries.base import ORACLES, query, scratch, table
 from tidemark.queries.ingest import DEDUP_SQL, LINE_KEY, deduped_lines
 from tidemark.plans.spec import Destination, LoadSpec, SourceFile, TableRef
-from tidemark.sources.tables import PartitionedTable, Table, open_table
+from tidemark.sources.tables import BucketedTable, PartitionedTable, Table, open_table
 
 LINE_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
@@ -320,3 +320,35 @@ def promote_by_partition(spark, sf_dir):
     promote.check_partitioning("pk_delete_insert", ["l_returnflag"], keys, [])
     promote.rewrite_partitions(table, staged, lambda prod: promote.promote(prod, staged, "pk_delete_insert", keys=keys))
     return table.read()
+
+
+BUCKETS = 16
+
+
+def bucketed_sides(spark, sf_dir, name: str, key):
+    """Production and staging, both kept in buckets of a key."""
+    prod, staging = (BucketedTable(spark, f"{scratch(spark, name)}/{side}", key, BUCKETS) for side in ("prod", "staging"))
+    prod.overwrite(prod_lines(spark, sf_dir))
+    staging.overwrite(staged_lines(spark, sf_dir))
+    return prod, staging
+
+
+@query(ORACLES["promote_pk_delete_insert"])
+def promote_bucketed(spark, sf_dir):
+    """K6, J4 on tables in buckets of the key: production is matched and rewritten without an exchange."""
+    prod, staging = bucketed_sides(spark, sf_dir, "promote_bucketed", LINE_KEY)
+    nulls = promote.has_null_keys(staging.read(), LINE_KEY)
+    prod.overwrite(promote.promote(prod.read(), staging.read(), "pk_delete_insert", keys=LINE_KEY, null_keys=nulls))
+    return prod.read()
+
+
+@query(ORACLES["promote_on_header"])
+def promote_bucketed_on_header(spark, sf_dir):
+    """K7 on tables in buckets of the header key."""
+    header = ["l_orderkey"]
+    prod, staging = bucketed_sides(spark, sf_dir, "promote_bucketed_on_header", header)
+    nulls = promote.has_null_keys(staging.read(), header)
+    prod.overwrite(
+        promote.promote(prod.read(), staging.read(), "pk_delete_insert_on_header", keys=LINE_KEY, header_key=header, null_keys=nulls)
+    )
+    return prod.read()

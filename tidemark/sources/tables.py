@@ -8,7 +8,9 @@ old state in place, and the next run overwrites the left-over folder.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, quoted
 from tidemark.functions.typing import as_columns
 
 _COMMIT_SCHEMA = "version long, folder string, rows long, committed timestamp"
@@ -184,6 +186,56 @@ class Table:
         return self.commit(self.stage(frame))
 
 
+class BucketedTable(Table):
+    """A table whose states are kept in buckets of a key, so that matching it on that key moves none of its
+    rows.
+
+    Each state is an external table of the session catalog over its own folder; a session that did not write it
+    declares it again when it reads. A folder that a dead run has left is never written to again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, by: Sequence[str], buckets: int) -> None:
+        super().__init__(spark, path)
+        self.by, self.buckets = tuple(by), buckets
+
+    def _name(self, folder: str) -> str:
+        return f"tidemark_{hashlib.md5(f'{self.path}/{folder}'.encode()).hexdigest()}"
+
+    def _state(self, folder: str) -> DataFrame:
+        name = self._name(folder)
+        if not self.spark.catalog.tableExists(name):
+            location = f"{self.path}/{folder}"
+            columns = ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in self.spark.read.parquet(location).schema)
+            by = ", ".join(map(quoted, self.by))
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+                f"INTO {self.buckets} BUCKETS LOCATION '{location}'"
+            )
+        return self.spark.table(name)
+
+    def read(self, columns: Sequence[str] | None = None) -> DataFrame | None:
+        last = self._last_commit()
+        if last is None:
+            return None
+        frame = self._state(last.folder)
+        return frame.select(*as_columns(columns)) if columns else frame
+
+    def staged_frame(self, staged: Staged) -> DataFrame:
+        return self._state(staged.folder)
+
+    def stage(self, frame: DataFrame) -> Staged:
+        """Write the next state in buckets, each sorted by the key, and check what landed."""
+        last = self._last_commit()
+        version = 1 if last is None else last.version + 1
+        folder, seen = f"v{version:08d}-{uuid.uuid4().hex[:8]}", Observation()
+        writer = frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet")
+        writer.bucketBy(self.buckets, *self.by).sortBy(*self.by).option("path", f"{self.path}/{folder}").saveAsTable(self._name(folder))
+        prepared, landed = int(seen.get["rows"]), self._state(folder).count()
+        if landed != prepared:
+            raise PartialLoadError(f"PARTIAL STAGING LOAD: {landed} rows landed in {self.path}, {prepared} were prepared.")
+        return Staged(version, folder, landed)
+
+
 PART, _COMMITTED_PARTS = "_part", "version long, part string, folder string, rows long, columns string"
 
 
@@ -283,8 +335,12 @@ class PartitionedTable:
         return self.commit(self.stage(frame, parts))
 
 
-def open_table(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> Table | PartitionedTable:
+def open_table(
+    spark: SparkSession, path: str, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int = 0
+) -> Table | PartitionedTable:
     """A table where it is kept, in the layout it is kept in."""
+    if bucket_by:
+        return BucketedTable(spark, path, bucket_by, buckets)
     return PartitionedTable(spark, path, partition_by) if partition_by else Table(spark, path)
 
 
