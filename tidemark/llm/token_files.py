@@ -51,7 +51,9 @@ def write_token_files(
     ids stand in the order of their texts' hashes; an empty table writes no rows.
     """
     rows = renamed(docs, doc_id=id_column, text=text_column)
-    rows = ranged(rows.withColumn("tie", F.xxhash64("text")), ["doc_id", "tie"]).drop("tie")
+    # The row's number parts rows alike in both, which would else all go to one task.
+    rows = rows.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    rows = ranged(rows, ["doc_id", "tie", "row"]).drop("tie", "row")
 
     def tokens(batches):
         part, start = TaskContext.get().partitionId(), 0
