@@ -33,6 +33,8 @@ ROUNDS = 3
 END = 1
 
 PIECES = fields(doc_id="long", piece="int", start="long", length="long", ids_crc32="long")
+# Pieces by a stored number, so that repeated rows are dealt out like others.
+_ROWS = T.StructType([*PIECES, *fields(row="long")])
 
 
 def token_pieces(
@@ -169,7 +171,7 @@ def evolve(sizes: np.ndarray, capacity: int, seed: int, elites: list[np.ndarray]
 
 def _sorted(table: pa.Table) -> pa.Table:
     """Rows in an order that does not depend on how they came."""
-    keys = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")]
+    keys = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending"), ("row", "ascending")]
     return table.take(pc.sort_indices(table, sort_keys=keys))
 
 
@@ -177,8 +179,8 @@ def _seed(table: pa.Table, *more: int) -> int:
     return zlib.crc32(repr((table.num_rows, table.column("shard")[0].as_py(), *more)).encode())
 
 
-_ISLAND = T.StructType([*PIECES, *fields(shard="long", island="int", number="int", bin="long")])
-_PACKED = T.StructType([*PIECES, *fields(shard="long", bin="long", room="long", offset="long")])
+_ISLAND = T.StructType([*_ROWS, *fields(shard="long", island="int", number="int", bin="long")])
+_PACKED = T.StructType([*_ROWS, *fields(shard="long", bin="long", room="long", offset="long")])
 
 
 def _pack_round(pieces: DataFrame, shards: int, capacity: int) -> DataFrame:
@@ -202,13 +204,13 @@ def _pack_round(pieces: DataFrame, shards: int, capacity: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
         before = np.repeat(ends[first] - sizes[order][first], np.diff([*first, len(held)]))
         room = capacity - np.bincount(found, sizes).astype(np.int64)
-        table = table.select([*PIECES.names, "shard"]).take(pa.array(order))
+        table = table.select([*_ROWS.names, "shard"]).take(pa.array(order))
         for name, values in (("bin", held), ("room", room[held]), ("offset", ends - sizes[order] - before)):
             table = table.append_column(name, pa.array(values.astype(np.int64)))
         return table
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(shards)), F.lit(shards)).cast("long")
-    dealt = pieces.select(*PIECES.names, shard.alias("shard"), F.explode(F.array(*(F.lit(k) for k in range(ISLANDS)))).alias("island"))
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row", F.lit(shards)), F.lit(shards)).cast("long")
+    dealt = pieces.select(*_ROWS.names, shard.alias("shard"), F.explode(F.array(*(F.lit(k) for k in range(ISLANDS)))).alias("island"))
     packed = dealt.groupBy("shard", "island").applyInArrow(island, _ISLAND)
     return packed.groupBy("shard").applyInArrow(meeting, _PACKED)
 
@@ -219,7 +221,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     Whole pieces fill a sequence each; the others are packed in rounds. ``sequence_id`` holds the
     round, the shard and the bin.
     """
-    pieces, done = stored(pieces, "pieces"), None
+    pieces, done = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces"), None
     for round_number in range(ROUNDS):
         count = pieces.count()
         shards = max(1, -(-count // shard_pieces))
@@ -231,7 +233,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
         done = ready if done is None else done.unionByName(ready)
         if last:
             return done
-        pieces = packed.where(F.col("room") * 256 > capacity).select(*PIECES.names)
+        pieces = packed.where(F.col("room") * 256 > capacity).select(*_ROWS.names)
     return done
 
 
