@@ -107,3 +107,26 @@ def test_components(spark):
     want = [(k, 0) for k in range(1, 61)] + [(k, 100) for k in [*range(101, 150), 200]] + [(301, 300)]
     assert sorted(map(tuple, got)) == sorted(want)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_many_rows_without_an_id(spark):
+    # Each row would meet each class by the missing id alone.
+    texts = [f"{' '.join(f'w{k}x{j}' for j in range(12))}{' tail' if k % 2 else ''}" for k in range(3000)]
+    frame = spark.createDataFrame([(None, text) for text in texts for _ in range(2)], "doc_id long, text string")
+    got = near_duplicates(frame, size=3, percent=80)
+    assert got.count() == 6000 and got.where("kept").count() == 6000
+    row = got.groupBy("n_shingles").count().orderBy("n_shingles").collect()
+    assert [tuple(r) for r in row] == [(10, 3000), (11, 3000)]
+
+
+def test_rows_of_a_repeated_text_are_packed_by_many_tasks(spark):
+    from tidemark.llm.packing import pack
+
+    pieces = spark.createDataFrame([(None, 0, 0, 700, 5)] * 3000, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = pack(pieces, shard_pieces=500).collect()
+    shards = {(r.sequence_id >> 24) & 0xFFFF for r in got}
+    assert len(got) == 3000 and len(shards) > 3
+    used = {}
+    for r in got:
+        used.setdefault(r.sequence_id, []).append(r.offset)
+    assert all(sorted(offsets) == [700 * k for k in range(len(offsets))] for offsets in used.values()) and len(used) <= 600 + 6

@@ -179,7 +179,7 @@ class _Search:
         marked = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), signature("text").alias("s"))
         self.marked = stored(marked.select("doc_id", "text_hash", "s.*"), "signatures")
         one = self.marked.where("n > 0").groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")
+            F.min("doc_id").alias("rep"), F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("rep_hash"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")
         )
         self.classes = stored(one, "classes")
         members = self.classes.select("key", F.explode("bands").alias("bucket"))
@@ -200,9 +200,11 @@ class _Search:
     def sets(self) -> DataFrame:
         """``key, elements``: the full sets of all classes that share a bucket, made anew from the text of
         one document each. Their names grow with the input, so the join never broadcasts them."""
-        met = self.members.select("key").distinct().join(self.classes.select("key", "rep"), "key")
-        met = stored(met.select(F.col("key").alias("wanted"), "rep"), "wanted")
-        texts = self.rows.join(met.hint("merge"), self.rows["doc_id"].eqNullSafe(met["rep"])).select("wanted", "text")
+        met = self.members.select("key").distinct().join(self.classes.select("key", "rep", "rep_hash"), "key")
+        met = stored(met.select(F.col("key").alias("wanted"), "rep", "rep_hash"), "wanted")
+        # By the text's hash too, so that rows without an id do not all meet.
+        same = self.rows["doc_id"].eqNullSafe(met["rep"]) & (F.xxhash64(self.rows["text"]) == met["rep_hash"])
+        texts = self.rows.join(met.hint("merge"), same).select("wanted", "text")
         sets = texts.select("wanted", set_udf(self.size)("text").alias("s")).where("s.key = wanted")
         return stored(sets.groupBy(F.col("wanted").alias("key")).agg(F.first("s.elements").alias("elements")), "sets")
 
