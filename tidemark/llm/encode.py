@@ -7,8 +7,8 @@ text's ids are the ids of its pieces one after the other:
           (the blank belongs to what follows);
 ``word``  white space only separates.
 
-A worker encodes each distinct piece once with the library. Arrow cuts a batch of texts and finds its
-different pieces, so that only these are looked up. Tests compare the result with encoding whole texts.
+A worker encodes each distinct piece once with the library and then looks it up. Tests compare
+the result with encoding whole texts.
 """
 
 from __future__ import annotations
@@ -18,12 +18,10 @@ from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 
 # Pieces a worker remembers. Beyond it those used once since the last time are dropped, which costs
 # time and changes no result.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 # Unknown pieces that are encoded in one call, told apart by a separator.
 _AT_ONCE = 200
 
@@ -32,15 +30,11 @@ _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-def plain_blanks(text: str) -> bool:
-    """Whether every blank of a text is a place where the byte-level vocabulary cuts."""
-    return not ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE_SPACE.search(text))
-
-
 def byte_pieces(text: str) -> list[str]:
     """Pieces of the byte-level vocabulary. A leading blank marks the first one, all others stand
     after a blank."""
-    pieces = text.split(" ") if plain_blanks(text) else _SAFE.split(text)
+    simple = not ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE_SPACE.search(text))
+    pieces = text.split(" ") if simple else _SAFE.split(text)
     pieces[0] = " " + pieces[0]
     return pieces
 
@@ -50,6 +44,11 @@ def byte_chunk(piece: str) -> str:
     return piece[1:] if piece.startswith(" ") else " " + piece
 
 
+def word_pieces(text: str) -> list[str]:
+    """Pieces of the vocabulary that drops white space."""
+    return text.replace("\n", " ").split(" ")
+
+
 class _Pieces(dict):
     """Numbers of pieces in order of first sight; new ones wait in ``fresh``."""
 
@@ -66,10 +65,11 @@ class _Pieces(dict):
 class Encoder:
     """Ids of whole texts, each followed by ``end``."""
 
-    def __init__(self, path: str, kind: str, end: int) -> None:
+    def __init__(self, path: str, kind: str, end: int, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces: Callable[[str], list[str]] = byte_pieces if kind == "byte" else word_pieces
         self.chunk: Callable[[str], str] = byte_chunk if kind == "byte" else str
         self.kind = kind
         # Cuts the text around it and has one id.
@@ -79,7 +79,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[n for token, n in vocabulary.items() if (token.startswith("Ġ") if kind == "byte" else token.endswith("</w>"))]] = True
-        self.end = end
+        self.end, self.remembered = end, remembered
         self._forget()
 
     def _forget(self) -> None:
@@ -144,7 +144,7 @@ class Encoder:
 
     def _trim(self) -> None:
         kept = np.flatnonzero(self.uses > 1)
-        if 2 * len(kept) > REMEMBERED:
+        if 2 * len(kept) > self.remembered:
             return self._forget()
         self.flat, ends = self._gather(kept)
         self.sizes = self.sizes[kept]
@@ -153,62 +153,36 @@ class Encoder:
         pieces = list(self.known)
         self.known = _Pieces([pieces[k] for k in kept.tolist()])
 
-    def _numbers(self, pieces: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-
-    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all pieces of texts that are cut at every blank (word: and line end), and how many each
-        text has. Each different piece of the texts is looked up once."""
-        column = pa.array(texts, pa.large_string())
-        if self.kind == "word":
-            column = pc.replace_substring(column, "\n", " ")
-        cut = pc.split_pattern(column, " ")
-        counts = np.diff(cut.offsets.to_numpy()).astype(np.int64)
-        coded = cut.flatten().dictionary_encode()
-        found = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        if self.kind == "byte":
-            found[np.cumsum(counts) - counts] = self._numbers([" " + text.split(" ", 1)[0] for text in texts])
-        return found, counts
-
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text's ids begin (one more than texts)."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self._trim()
-        plain, odd = [], []
-        for at, text in enumerate(texts):
-            if text:
-                (plain if self.kind == "word" or plain_blanks(text) else odd).append(at)
-        cut = [(plain, *self._cut([texts[at] for at in plain]))] if plain else []
-        for at in odd:
-            numbers = self._numbers(byte_pieces(texts[at]))
-            cut.append(([at], numbers, np.array([len(numbers)])))
-        counts = np.ones(len(texts), np.int64)  # number 0 ends each text
-        for where, _, sizes in cut:
-            counts[where] += sizes
+        cut = [self.pieces(text) if text else [] for text in texts]
+        counts = np.fromiter((len(one) + 1 for one in cut), np.int64, len(cut))
         lasts = np.cumsum(counts) - 1
-        found = np.zeros(int(counts.sum()), np.int64)
-        for where, numbers, sizes in cut:
-            shift = lasts[where] - np.cumsum(sizes)
-            found[np.repeat(shift, sizes) + np.arange(len(numbers))] = numbers
+        inner = np.ones(int(counts.sum()), bool)
+        inner[lasts] = False
+        found = np.zeros(len(inner), np.int64)
+        found[inner] = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(inner.sum()))
         if self.known.fresh:
             self._learn()
         self.uses += np.bincount(found, minlength=len(self.uses))
         ids, ends = self._gather(found)
-        return ids, np.concatenate([[0], ends[lasts]]) if len(texts) else np.zeros(1, np.int64)
+        return ids, np.concatenate([[0], ends[lasts]]) if len(cut) else np.zeros(1, np.int64)
 
 
-_encoders: dict[tuple[str, str, int], Encoder] = {}
+_encoders: dict[tuple[str, str, int, int], Encoder] = {}
 
 
-def encoder(path: str, kind: str, end: int) -> Encoder:
+def encoder(path: str, kind: str, end: int, remembered: int = REMEMBERED) -> Encoder:
     """The worker's encoder for a vocabulary; kept between tasks."""
-    key = (path, kind, end)
+    key = (path, kind, end, remembered)
     if key not in _encoders:
         _encoders[key] = Encoder(*key)
     return _encoders[key]
 
 
-def batches_of(texts: list[str | None], size: int = 4_000_000):
+def batches_of(texts: list[str | None], size: int = 1_000_000):
     """Ranges of texts of about ``size`` characters, so that one long text does not swell others."""
     start, held = 0, 0
     for at, text in enumerate(texts):

@@ -25,6 +25,8 @@ from tidemark.llm.encode import batches_of, encoder
 from tidemark.llm.ordered import global_starts, ranged
 
 END = 2
+# Pieces of text a worker remembers: rare ones are encoded less often than with the usual number.
+REMEMBERED = 800_000
 SCHEMA = fields(doc_id="long", n_tokens="long", tokens=T.ArrayType(T.IntegerType()), part="int", start="long")
 
 # Settings of the files. Row groups of 32 MB bound what a reader holds; 20,000 rows or 256 KB a page
@@ -57,7 +59,7 @@ def write_token_files(
 
     def tokens(batches):
         part, start = TaskContext.get().partitionId(), 0
-        encode = encoder(vocabulary, kind, end).encode
+        encode = encoder(vocabulary, kind, end, REMEMBERED).encode
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for low, high in batches_of(texts):
