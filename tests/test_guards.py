@@ -80,3 +80,11 @@ def test_missing_columns():
     assert "COLUMN NOT FOUND (warning)" in g.missing_columns(["a"], ["a"], ["b"])
     with pytest.raises(g.GuardError, match="missing expected columns"):
         g.missing_columns(["a"], ["z"])
+
+
+def test_unread_shapes(spark):
+    frame = spark.createDataFrame(
+        [("1/2/2026", "2026.01.02"), ("31/31/2026", "2026.01.03"), (None, "soon"), ("20260102", None)], "`Order.Date` string, due string"
+    )
+    got = rows(g.unread_shapes(frame, ["Order.Date", "due"]))
+    assert got == [("Order.Date", "9/9/Y", 1, "31/31/2026"), ("due", "N", 1, "soon"), ("due", "Y.9.9", 2, "2026.01.02")]

@@ -115,7 +115,11 @@ def test_requirements(spark, log):
         ("q", "Items", False, "Items: FAILED on s1/PRD"),
         ("r", "Orders", False, "Orders: no health row on s2"),
     ]
-    assert rows(h.gate(got)) == [
+    verdicts = h.gate(got)
+    assert (["Feed: FILE_NOT_FOUND on s1/STG", "Items: FAILED on s1/PRD"],) in rows(verdicts, "Reasons")
+    dated = h.requirement_status(latest, needs, on_day=dt.date(2026, 7, 28))
+    assert ("Orders: no health row for 2026-07-28 on s2",) in rows(dated, "Reason")
+    assert rows(verdicts.drop("Reasons")) == [
         ("p", "s2", True, ""),
         ("q", "s2", False, "Feed: FILE_NOT_FOUND on s1/STG; Items: FAILED on s1/PRD"),
         ("r", "s2", False, "Orders: no health row on s2"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import plan, rows
 from tidemark.operators.archive import daily_rows, rearchive, window_dates, write_archive
 from tidemark.operators.backfill import copy_prod_table, copy_table, copyable_tables, shared_columns
-from tidemark.operators.search_terms import search_terms
+from tidemark.operators.search_terms import search_terms, term_sets
 from tidemark.plans.spec import Destination, LoadSpec, Promotion, SourceFile, TableRef
 from tidemark.sources.tables import PartitionedTable, Table, open_table
 
@@ -40,6 +40,16 @@ def test_a_null_term_stops_the_job(spark):
         search_terms(view.drop("Date"), F.col("o"))
 
 
+def test_the_view_is_scanned_once(spark, tmp_path):
+    view = spark.createDataFrame([("g", "i1", "r2", "t1", "d", 0), (None, None, "r1", "t2", "d", 1), (None, None, "r1", "t2", None, 2)], VIEW)
+    view.write.parquet(str(tmp_path / "view"))
+    stored = spark.read.parquet(str(tmp_path / "view"))
+    text = plan(term_sets(stored, F.col("o")))
+    assert text.count("FileScan") == 1 and text.count("Expand") == 1 and text.count("Exchange") == 1
+    assert "/view" not in plan(search_terms(stored, F.col("o")))
+    assert rows(search_terms(stored, F.col("o"))) == sorted([("i1", "r2", "t1", "d"), (None, None, None, "d"), (None, None, None, None)], key=repr)
+
+
 def events(spark, *items):
     rows_ = [(n, dt.datetime.fromisoformat(stamp)) for n, stamp in items]
     return spark.createDataFrame(rows_, "n int, ts timestamp_ntz")

@@ -72,3 +72,14 @@ def test_mapping_template(spark):
     assert rows(got, "destination", "source", "note") == sorted(
         [("a", "a", "mapped"), ("b", None, "unmapped"), (None, "c", "ignored")], key=repr
     )
+
+
+def test_generated_columns_go_on_from_the_stored_numbers(spark):
+    present = spark.createDataFrame([("x", 7, 1), ("y", 41, 2)], "a string, id int, b long")
+    fresh = spark.range(1000).selectExpr("concat('n', id) as a", "id as b").repartition(7)
+    got = shape.generated(fresh, present, ["id"])
+    assert got.columns == ["a", "id", "b"] and got.schema["id"].dataType.simpleString() == "int"
+    rows_ = got.collect()
+    assert sorted(r.id for r in rows_) == list(range(42, 1042)) and {(r.a, r.b) for r in rows_} == {(f"n{k}", k) for k in range(1000)}
+    assert [r.id for r in shape.generated(fresh.limit(1), present.where("false"), ["id"]).collect()] == [1]
+    assert shape.generated(fresh, present, []) is fresh and shape.generated(fresh.where("false"), present, ["id"]).count() == 0

@@ -251,8 +251,18 @@ def failed_log_paths(latest: DataFrame, order: Column, day: str | None = None) -
     return failed.groupBy(*_keys(day), "LogFilePath").agg(F.min(order).alias("FirstSeen"))
 
 
-def requirement_status(latest: DataFrame, requirements: DataFrame, day: str | None = None) -> DataFrame:
-    """Each requirement with whether it is met and, if not, why.
+def by_load_name(requirements: DataFrame, roster: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requirements on loads (``LoadName``) as requirements on the processes that the roster (ConfigName,
+    ProcessName) says they log as, and the names that no entry bears."""
+    names = roster.select("ConfigName", "ProcessName").distinct()
+    known = requirements.join(names, requirements["LoadName"] == names["ConfigName"])
+    resolved = known.select(*(requirements[name] for name in requirements.columns if name != "ProcessName"), names["ProcessName"])
+    unknown = requirements.join(names, requirements["LoadName"] == names["ConfigName"], "left_anti").select("LoadName").distinct()
+    return resolved, unknown
+
+
+def requirement_status(latest: DataFrame, requirements: DataFrame, day: str | None = None, on_day: dt.date | None = None) -> DataFrame:
+    """Each requirement with whether it is met and, if not, why. ``on_day`` is named where no row is found.
 
     ``requirements`` has one row per waiting process, destination server and required process:
     Waiting, Server, ProcessName, Scope (and the day). Only rows of the server count unless the
@@ -276,7 +286,7 @@ def requirement_status(latest: DataFrame, requirements: DataFrame, day: str | No
     )
     scope = F.when(F.col("Scope") == "any", "").otherwise(F.concat(F.lit(" on "), F.col("Server")))
     reason = (
-        F.when(F.col("_rows") == 0, F.concat(F.col("ProcessName"), F.lit(": no health row"), scope))
+        F.when(F.col("_rows") == 0, F.concat(F.col("ProcessName"), F.lit(f": no health row for {on_day.isoformat()}" if on_day else ": no health row"), scope))
         .when(F.col("_bad") != "", F.concat(F.col("ProcessName"), F.lit(": "), F.col("_bad")))
     )
     return grouped.select(
@@ -285,10 +295,11 @@ def requirement_status(latest: DataFrame, requirements: DataFrame, day: str | No
 
 
 def gate(status: DataFrame, day: str | None = None) -> DataFrame:
-    """Per waiting process and server: clear to run, or blocked and by what."""
+    """Per waiting process and server: clear to run, or blocked and by what (as text and as a list)."""
     return status.groupBy(*_keys(day), "Waiting", "Server").agg(
         F.bool_and("Met").alias("Clear"),
         F.array_join(F.array_sort(F.collect_list("Reason")), "; ").alias("Unmet"),
+        F.array_sort(F.collect_list("Reason")).alias("Reasons"),
     )
 
 

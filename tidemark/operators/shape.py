@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
 from tidemark.functions.typing import as_columns, clean_text, fit_sql_type, text_columns, to_date, to_datetime, to_float, to_int
 from tidemark.plans.spec import MapRow
+from tidemark.sources.tables import kept
 
 log = logging.getLogger("tidemark")
 
@@ -134,6 +135,31 @@ def relabel(frame: DataFrame, names: Sequence[str]) -> DataFrame:
     return frame.toDF(*names)
 
 
+# Low bits of monotonically_increasing_id(): the row's place in its partition; the partition stands above.
+_PLACE_BITS = 33
+
+
+def generated(frame: DataFrame, present: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """Insertable rows in the table's shape, with its generated columns continued from their stored maxima.
+
+    Rows are stored with their partition and place; each partition's first number follows from the counts of
+    those before it, one row per partition, so no task sees all rows.
+    """
+    if not identity:
+        return frame
+    last = present.agg(*(F.coalesce(F.max(col(name)), F.lit(0)).cast("long").alias(name) for name in identity)).first()
+    placed = kept(frame.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_part", F.shiftright("_place", _PLACE_BITS))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    number = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1
+    kinds = {field.name: field.dataType for field in present.schema}
+    return placed.join(F.broadcast(starts), "_part").select(
+        *((number + last[name]).cast(kinds[name]).alias(name) if name in identity else col(name) for name in present.columns)
+    )
+
+
 def mapping_template(spark, headers: Sequence[str], table_columns: Sequence[str]) -> DataFrame:
     """Header names against table columns by name: matched, table only, or file only."""
     left = spark.createDataFrame([(n, i) for i, n in enumerate(table_columns)], "destination string, position int")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from tidemark.functions.columns import col
 from tidemark.operators import search_terms as terms
 from tidemark.operators.archive import write_archive
-from tidemark.operators.shape import relabel
+from tidemark.operators.shape import generated, relabel
 from tidemark.plans.process import StepContext
 from tidemark.sources.tables import Table, insert_columns, read_table, read_view
 
@@ -18,7 +18,7 @@ def build_search_terms(context: StepContext) -> int:
 
     Options: ``source_view`` (view name or path), ``target_table`` (path), ``order`` (the view's
     column that tells which row comes first), ``identity`` (generated target columns). An existing
-    target gives its column names by position.
+    target gives its column names by position, and its generated columns go on from their last numbers.
     """
     options = context.options
     view = read_view(context.spark, options["source_view"], [*terms.REQUIRED, options["order"]])
@@ -26,7 +26,8 @@ def build_search_terms(context: StepContext) -> int:
     table = Table(context.spark, options["target_table"])
     present = table.read()
     if present is not None:
-        rows = relabel(rows, insert_columns(present, options.get("identity", ())))
+        identity = options.get("identity", ())
+        rows = generated(relabel(rows, insert_columns(present, identity)), present, identity)
     return table.overwrite(rows)
 
 

@@ -99,33 +99,8 @@ def exception_flag(spark, sf_dir):
     )
 
 
-@query(
-    """
-WITH main AS (
-  SELECT o_orderkey, CAST(c_nationkey AS VARCHAR) AS company, o_orderpriority AS fd3, c_mktsegment AS fd5, c_name AS fd1text,
-    CASE WHEN o_orderstatus = 'P' THEN 'INV' END AS inv, CASE WHEN o_orderpriority <> '5-LOW' THEN c_mktsegment END AS loc,
-    CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_custkey AS VARCHAR) ELSE '' END AS reference,
-    o_orderstatus, o_orderpriority, o_orderdate
-  FROM orders JOIN customer ON o_custkey = c_custkey),
-cmap AS (SELECT CAST(n_nationkey AS VARCHAR) AS company, n_name, r_name, CAST(r_regionkey AS VARCHAR) AS lv1
-         FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'),
-j AS (SELECT main.*, n_name, r_name, lv1, 'priority ' || fd3 AS fd3text,
-        CASE WHEN fd5 <> 'BUILDING' THEN 'segment ' || fd5 END AS fd5desc
-      FROM main LEFT JOIN cmap ON main.company = cmap.company)
-SELECT o_orderkey, company, n_name AS name, r_name AS lv3, lv1, fd3text,
-  CASE WHEN inv IS NOT NULL THEN 'INVENTORY - ' || coalesce(loc, '') ELSE fd5 END AS fd5,
-  CASE WHEN inv IS NOT NULL THEN 'INVENTORY - ' || coalesce(loc, '') ELSE coalesce(fd5desc, fd1text) END AS fd5text,
-  CASE WHEN reference = '0' THEN '' ELSE reference END AS reference,
-  CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN 'Remove - released but canceled'
-       WHEN o_orderstatus = 'O' THEN 'Remove - unreleased'
-       WHEN reference NOT IN ('', '0') THEN 'Remove - legacy PO transferred' ELSE 'Default' END AS flag,
-  'CORE' AS system, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%Y-%m') AS year_month,
-  'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter
-FROM j
-"""
-)
-def purchase_order_lines(spark, sf_dir):
-    """J1-J3, P8, P9, F8, F11, F16, F17 together: the order enrichment transform."""
+def order_sides(spark, sf_dir):
+    """Order lines as an export ships them, and the side exports that enrich them."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     customers = table(spark, sf_dir, "customer")
     main = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
@@ -155,7 +130,37 @@ def purchase_order_lines(spark, sf_dir):
     fd5 = customers.where(F.col("c_mktsegment") != "BUILDING").select(
         F.col("c_mktsegment").alias("FinanceDimension5"), F.concat(F.lit("segment "), "c_mktsegment").alias("Description")
     ).distinct()
-    side = {"company_map": company_map, "fd3": fd3, "fd5": fd5}
+    return main, {"company_map": company_map, "fd3": fd3, "fd5": fd5}
+
+
+@query(
+    """
+WITH main AS (
+  SELECT o_orderkey, CAST(c_nationkey AS VARCHAR) AS company, o_orderpriority AS fd3, c_mktsegment AS fd5, c_name AS fd1text,
+    CASE WHEN o_orderstatus = 'P' THEN 'INV' END AS inv, CASE WHEN o_orderpriority <> '5-LOW' THEN c_mktsegment END AS loc,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_custkey AS VARCHAR) ELSE '' END AS reference,
+    o_orderstatus, o_orderpriority, o_orderdate
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+cmap AS (SELECT CAST(n_nationkey AS VARCHAR) AS company, n_name, r_name, CAST(r_regionkey AS VARCHAR) AS lv1
+         FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'),
+j AS (SELECT main.*, n_name, r_name, lv1, 'priority ' || fd3 AS fd3text,
+        CASE WHEN fd5 <> 'BUILDING' THEN 'segment ' || fd5 END AS fd5desc
+      FROM main LEFT JOIN cmap ON main.company = cmap.company)
+SELECT o_orderkey, company, n_name AS name, r_name AS lv3, lv1, fd3text,
+  CASE WHEN inv IS NOT NULL THEN 'INVENTORY - ' || coalesce(loc, '') ELSE fd5 END AS fd5,
+  CASE WHEN inv IS NOT NULL THEN 'INVENTORY - ' || coalesce(loc, '') ELSE coalesce(fd5desc, fd1text) END AS fd5text,
+  CASE WHEN reference = '0' THEN '' ELSE reference END AS reference,
+  CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN 'Remove - released but canceled'
+       WHEN o_orderstatus = 'O' THEN 'Remove - unreleased'
+       WHEN reference NOT IN ('', '0') THEN 'Remove - legacy PO transferred' ELSE 'Default' END AS flag,
+  'CORE' AS system, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%Y-%m') AS year_month,
+  'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter
+FROM j
+"""
+)
+def purchase_order_lines(spark, sf_dir):
+    """J1-J3, P8, P9, F8, F11, F16, F17 together: the order enrichment transform."""
+    main, side = order_sides(spark, sf_dir)
     done = TRANSFORMS["purchase_order_line"](main, {"system": "CORE", "release_date": "ReleasedOn"}, side, RUN)
     names = {
         "o_orderkey": "o_orderkey", "Company": "company", "Name": "name", "AP pay lv3": "lv3", "AP pay lv1": "lv1",

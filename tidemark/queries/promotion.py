@@ -224,7 +224,7 @@ WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-21'
 """
 )
 def trailing_archive(spark, sf_dir):
-    """The last six days archived again, older days kept as they were."""
+    """The last six days archived again as a frame, older days kept as they were (the writer: `archive_days`)."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts")
     archived = events.where(F.col("ts") < stamp("2024-01-19")).withColumns(
         {"value": F.lit(0.0), "ArchiveDate": F.to_date("ts")}

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.operators import health
-from tidemark.queries.base import query, table
+from tidemark.queries.base import ORACLES, query, table
 
 LABELS = {"srv1": "Main", "srv2": "Backup"}
 
@@ -239,7 +239,7 @@ FROM verdict GROUP BY 1, 2"""
 )
 def requirement_gate(spark, sf_dir):
     """H2: clear to run, or blocked."""
-    return health.gate(requirement_rows(spark, sf_dir))
+    return health.gate(requirement_rows(spark, sf_dir)).drop("Reasons")
 
 
 @query(
@@ -253,3 +253,22 @@ def step_kinds(spark, sf_dir):
     """The one kind of step, or mixed."""
     kind = F.when(F.col("event_type") == "error", "sql").otherwise("python")
     return table(spark, sf_dir, "events").groupBy("user_id").agg(health.step_kind(kind).alias("kind"))
+
+
+@query(ORACLES["requirement_gate"])
+def requirement_gate_by_load(spark, sf_dir):
+    """Requirements on loads, resolved against the roster; names it lacks wait for nothing."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    needs = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("r_name").alias("Waiting"),
+        F.explode(F.array(F.lit("srv1"), F.lit("srv2"))).alias("Server"),
+        "n_name",
+        F.when(F.col("n_regionkey") < 2, "any").otherwise("destination").alias("Scope"),
+    )
+    needs = needs.select("Waiting", "Server", F.explode(F.array(F.lower("n_name"), F.concat(F.lit("no load "), "n_name"))).alias("LoadName"), "Scope")
+    roster = nation.select(F.lower("n_name").alias("ConfigName"), F.col("n_name").alias("ProcessName"))
+    resolved, unknown = health.by_load_name(needs, roster)
+    if unknown.count() != nation.count():
+        raise RuntimeError("every second name is unknown")
+    rows = health.latest_rows(health_log(spark, sf_dir), F.col("ProcessID"))
+    return health.gate(health.requirement_status(rows, resolved)).drop("Reasons")

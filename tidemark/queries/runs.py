@@ -126,7 +126,7 @@ def loaded(spark, sf_dir, name: str) -> tuple[str, LoadSpec]:
     + f"SELECT {', '.join(COLUMNS)} FROM prod WHERE l_orderkey NOT IN (SELECT l_orderkey FROM stg) UNION ALL SELECT {', '.join(COLUMNS)} FROM stg"
 )
 def load_lines(spark, sf_dir):
-    """Files to production, second destination."""
+    """Files to production, second destination."""
     _, spec = loaded(spark, sf_dir, "load_lines")
     return Table(spark, spec.destinations[1].prod.path).read()
 
@@ -239,18 +239,23 @@ def load_lifecycle(spark, sf_dir):
     return Table(spark, stat.path).read().withColumn("ReportDate", F.col("ReportDate").cast("string"))
 
 
-@query(ORACLES["search_terms"])
-def search_terms_process(spark, sf_dir):
-    """A gated process rebuilds the search terms from a stored view."""
-    home = scratch(spark, "search_terms_process")
-    table(spark, sf_dir, "part").select(
+def part_view(spark, sf_dir):
+    """Parts as the view that search terms are built from."""
+    return table(spark, sf_dir, "part").select(
         F.when(F.col("p_size") > 15, F.col("p_brand")).alias("Item Group"),
         F.concat_ws(" ", "p_type", F.col("p_size").cast("string")).alias("Item"),
         F.col("p_name").alias("RefSearch"),
         F.concat_ws(" ", "p_name", "p_brand").alias("ItemSearch"),
         F.col("p_size").alias("Date"),
         "p_partkey",
-    ).write.parquet(f"{home}/view")
+    )
+
+
+@query(ORACLES["search_terms"])
+def search_terms_process(spark, sf_dir):
+    """H2, H3, A5: a gated process rebuilds the search terms from a stored view."""
+    home = scratch(spark, "search_terms_process")
+    part_view(spark, sf_dir).write.parquet(f"{home}/view")
     parts = TableRef(f"{home}/view", "srv1", "Parts", "dbo", "PART")
     upstream = LoadSpec("part", "Part", (SourceFile("", "*"),), (Destination("des1", parts),))
     ran = health_frame(spark, upstream, [StepResult(parts, parts, "SUCCESS", "PRD")], process_id="1", run=Run(RUN_AT))

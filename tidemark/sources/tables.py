@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import col, quoted
 from tidemark.functions.typing import as_columns
+from tidemark.session import shared_dir
 
 _COMMIT_SCHEMA = "version long, folder string, rows long, committed timestamp"
 
@@ -102,6 +103,14 @@ def append_rows(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     writer.parquet(path)
 
 
+def kept(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to a new folder under the shared one and read it from there: what follows, however
+    often, neither computes it again nor loses it with an executor."""
+    path = f"{shared_dir(frame.sparkSession)}/kept/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def write_counted(frame: DataFrame, path: str) -> int:
     """Overwrite ``path`` and return the number of rows the write tasks saw."""
     seen = Observation()
