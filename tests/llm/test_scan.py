@@ -209,3 +209,45 @@ def test_short_texts_of_gated_rules():
     assert labels("Licensed under the GNU General Public License version 1") == {"gpl-1.0"}
     assert labels("Licensed under the Open Database License") == {"odbl-1.0"}
     assert labels("Released under the Open Data Commons Open Database License") == {"odbl-1.0"}
+
+
+# The openings of license texts as they are usually written.
+OPENINGS = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "bsd-3-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided",
+    "apache-2.0": "you may not use this file except in compliance with the License. You may obtain a copy",
+    "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published",
+    "lgpl": "redistribute it under the terms of the GNU Lesser General Public License as published",
+    "agpl": "modify it under the terms of the GNU Affero General Public License as published",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License which",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "wtfpl": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages",
+    "cc0-1.0": "the person has waived all copyright and related or neighboring rights to this work",
+    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 License",
+    "ofl-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "gfdl": "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License",
+    "bsl-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered",
+    "postgresql": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is",
+}
+
+
+def test_openings_of_license_texts():
+    for label, text in OPENINGS.items():
+        assert label in scan_text(("// " + text).encode())["labels"].split(","), label
+
+
+def test_many_notices_take_linear_time():
+    import time
+
+    spent = []
+    for times in (20_000, 80_000):
+        started = time.perf_counter()
+        found = scan_text(b"copyright 2020 under the mit license " * times)
+        spent.append(time.perf_counter() - started)
+        assert found["n_base"] == times and (found["first_word"], found["last_word"]) == (2, 6 * times - 4)
+    assert spent[1] < 12 * spent[0] + 1

@@ -12,6 +12,7 @@ The rules are hand-written names of licenses combined with hand-written forms of
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -113,6 +114,39 @@ _GENERAL = (
     ("gpl", r"gnu general public licen[cs]e|gnu gpl", 0, 0.5, "gnu"),
     ("copyright-notice", r"copyright (?:c )?(?:19|20)\d\d", 0, 0.3, "copyright"),
 )
+# Openings and headers of license texts in normal words, each with a word group that all forms of it hold.
+_TEXTS = (
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "associated documentation files"),
+    ("bsl-1.0", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "person or organization obtaining"),
+    ("isc", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted", "with or without fee"),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement", "without a written agreement"),
+    ("bsd", r"redistribution and use in source and binary forms(?: with or without modification)? are permitted provided that the following conditions are met", "source and binary forms"),
+    ("bsd-3-clause", r"neither the name of (?:\w+ ){1,8}nor the names of (?:its|any|their) contributors may be used to endorse or promote products", "endorse or promote products"),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "all advertising materials"),
+    ("apache-2.0", r"you may not use this file except in compliance with the license", "except in compliance"),
+    ("gpl", r"this (?:program|library|file) is free software(?: you can redistribute it and or modify it)? under the terms of the gnu general public license", "is free software"),
+    ("gpl", r"this program is free software you can redistribute it and or modify it", "is free software"),
+    ("lgpl", r"under the terms of the gnu (?:lesser|library) general public license", "general public license"),
+    ("agpl", r"under the terms of the gnu affero general public license", "affero general public license"),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "free documentation license"),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public license", "mozilla public license"),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse public license"),
+    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution license", "common development and distribution"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered software"),
+    ("wtfpl", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document", "verbatim or modified copies"),
+    ("fsf-text", r"everyone is permitted to copy and distribute verbatim copies of this license document", "verbatim copies of this license"),
+    ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", "authors be held liable"),
+    ("cc0-1.0", r"has waived all copyright and related or neighboring rights", "neighboring rights"),
+    ("cc-by", r"this work is licensed under a creative commons attribution(?: \d+ \d+)?(?: international| unported)? license", "creative commons attribution"),
+    ("cc-by-sa", r"this work is licensed under a creative commons attribution share ?alike", "creative commons attribution"),
+    ("ofl-1.1", r"this font software is licensed under the sil open font license", "open font license"),
+    ("artistic", r"the intent of this document is to state the conditions under which a package may be copied", "a package may be copied"),
+    ("psf-2.0", r"psf hereby grants licensee a nonexclusive royalty free world wide license", "psf hereby grants"),
+    ("eupl", r"licensed under the eupl version", "under the eupl"),
+    ("ncsa", r"deal with the software without restriction including without limitation the rights to use copy modify", "deal with the software"),
+    ("as-is", r"the software is provided as is without warranty of any kind express or implied", "warranty of any kind"),
+)
 
 
 @dataclass(frozen=True)
@@ -136,6 +170,7 @@ def rules() -> tuple[Rule, ...]:
         Rule(label, re.compile(rf"(?<!\S)(?:{pattern})(?!\S)"), priority, confidence, (keyword,))
         for label, pattern, priority, confidence, keyword in _GENERAL
     ]
+    found += [Rule(label, re.compile(rf"(?<!\S)(?:{pattern})(?!\S)"), 5, 0.95, (keyword,)) for label, pattern, keyword in _TEXTS]
     return tuple(sorted(found, key=lambda rule: -rule.priority))
 
 
@@ -154,15 +189,21 @@ def detections(text: str) -> list[tuple[int, int, str, float]]:
         if all(map(has, rule.keywords))
         for m in rule.pattern.finditer(text)
     ]
+    # Kept ones never overlap, so their starts and ends ascend together and one place decides.
     kept: list[tuple[int, int, str, float]] = []
+    starts: list[int] = []
     for _, _, start, end, label, confidence in sorted(hits):
-        if all(end <= s or start >= e for s, e, _, _ in kept):
-            kept.append((start, end, label, confidence))
-    return sorted(kept)
+        at = bisect_right(starts, start)
+        if (at == 0 or kept[at - 1][1] <= start) and (at == len(kept) or end <= kept[at][0]):
+            starts.insert(at, start)
+            kept.insert(at, (start, end, label, confidence))
+    return kept
 
 
 # What every rule and base phrase needs one of; a text without any is not normalised further.
-_GATES = (b"licen", b"spdx", b"under", b"subject", b"public domain", b"rights reserved", b"proprietary", b"gnu", b"copyright", b"apache", b"cc by")
+_GATES = (b"licen", b"spdx", b"under", b"subject", b"public domain", b"rights reserved", b"proprietary", b"gnu", b"copyright", b"apache", b"cc by", *(
+    keyword.encode() for _, _, keyword in _TEXTS
+))
 
 _SPAN = fields(start="int", end="int", label="string")
 _RESULT = fields(
@@ -180,9 +221,11 @@ def scan_text(raw: bytes) -> dict:
         return result
     padded, starts, base = b" " + line + b" ", [], set()
     for phrase, label in BASE_PHRASES:
-        needle, at = b" " + phrase.encode() + b" ", -1
+        needle, at, counted, words_before = b" " + phrase.encode() + b" ", -1, 0, -1
         while (at := padded.find(needle, at + 1)) >= 0:
-            starts.append(padded.count(b" ", 0, at + 1) - 1)
+            words_before += padded.count(b" ", counted, at + 1)
+            counted = at + 1
+            starts.append(words_before)
             base.add(label)
     found = detections(line.decode("utf-8", "replace"))
     doubt = 0.1 if base else 1.0
