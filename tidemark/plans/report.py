@@ -31,10 +31,12 @@ def daily_report(log: DataFrame, roster: DataFrame, day: dt.date, labels: Mappin
     on time and duration go by run and table.
     """
     expected = health.daily_only(roster)
-    names = [row.ProcessName for row in expected.select("ProcessName").distinct().collect()]
+    rows = health.rows_of_day(log, day)
+    if not expected.isEmpty():
+        rows = rows.join(expected.select("ProcessName").distinct(), "ProcessName", "left_semi")
     # Run and table stand in for the order rows were written in, which a folder of files lacks.
     order = F.struct("ProcessID", "TargetTableName")
-    latest = health.latest_rows(health.rows_of_day(log, day, names), order)
+    latest = health.latest_rows(rows, order)
     status = health.process_status(latest)
     return Report(
         summary=health.summary(status, expected).withColumn(
