@@ -35,6 +35,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has made, with all that is in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def listed(spark: SparkSession, path: str) -> frozenset[str]:
     """Names of the data files in a folder, asked of its file system without a Spark job; none without it."""
     if not path_exists(spark, path):
