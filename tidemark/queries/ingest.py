@@ -26,8 +26,13 @@ SELECT * EXCLUDE (rn) FROM (
 """
 
 
+def first_lines(lines):
+    """Of the lines of a key the one shipped last."""
+    return keep_first(lines, LINE_KEY, [("l_shipdate", "desc")])
+
+
 def deduped_lines(spark, sf_dir):
-    return keep_first(table(spark, sf_dir, "lineitem"), LINE_KEY, [("l_shipdate", "desc")])
+    return first_lines(table(spark, sf_dir, "lineitem"))
 
 
 def orders_as_text(spark, sf_dir):
