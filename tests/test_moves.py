@@ -5,7 +5,7 @@ import os
 
 import pytest
 from tests.helpers import plan, rows
-from tidemark.queries import runs
+from tidemark.queries import promotion, runs
 from tidemark.queries.ingest import first_lines
 from tidemark.sources.tables import Table
 
@@ -45,3 +45,10 @@ def test_states_are_written_small(spark, tmp_path):
     table.overwrite(spark.range(5).toDF("k"))
     names = [name for name in os.listdir(tmp_path / "t" / "v00000001") if name.endswith(".parquet")]
     assert names and all(name.endswith(".zstd.parquet") for name in names)
+
+
+def test_both_sides_of_a_promotion_come_of_lines_found_once(spark, sf_dir):
+    prod, staged = promotion.line_sides(spark, sf_dir)
+    assert not any(node in plan(side) for side in (prod, staged) for node in ("Window", "Join"))
+    assert rows(prod, "l_orderkey", "l_linenumber", "l_quantity") == sorted([(1, 1, 1.0), (2, 1, 1.0), (2, 2, 1.0), (3, 1, 1.0), (None, 1, 1.0)], key=repr)
+    assert rows(staged, "l_orderkey", "l_linenumber", "l_shipdate") == [(2, 1, NEW + dt.timedelta(1)), (2, 2, NEW + dt.timedelta(1))]

@@ -17,7 +17,7 @@ from tidemark.operators.guards import check_keys
 from tidemark.queries.base import ORACLES, query, scratch, table
 from tidemark.queries.ingest import DEDUP_SQL, LINE_KEY, deduped_lines
 from tidemark.plans.spec import Destination, LoadSpec, SourceFile, TableRef
-from tidemark.sources.tables import BucketedTable, PartitionedTable, Table, open_table
+from tidemark.sources.tables import BucketedTable, PartitionedTable, Table, kept, open_table
 
 LINE_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
@@ -39,31 +39,43 @@ def stamp(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def prod_lines(spark, sf_dir):
-    return deduped_lines(spark, sf_dir).where(F.col("l_shipdate") < stamp("2000-01-01"))
+def marked_lines(spark, sf_dir):
+    """De-duplicated lines, marked where their order was placed from 1998 on."""
+    lines = deduped_lines(spark, sf_dir)
+    window = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= stamp("1998-01-01"))
+    window = window.select(F.col("o_orderkey").alias("l_orderkey")).distinct().withColumn("_late", F.lit(True))
+    return lines.join(window, "l_orderkey", "left").select(*lines.columns, "_late")
 
 
-def staged_lines(spark, sf_dir):
-    window = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= stamp("1998-01-01"))
+def line_sides(spark, sf_dir):
+    """Production and staging, both of the same lines, which are found and stored once."""
+    lines = kept(marked_lines(spark, sf_dir), "lines")
+    return prod_lines(lines), staged_lines(lines)
+
+
+def prod_lines(lines):
+    return lines.where(F.col("l_shipdate") < stamp("2000-01-01")).drop("_late")
+
+
+def staged_lines(lines):
     later = F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")
-    lines = deduped_lines(spark, sf_dir)
     return (
-        lines.join(window.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-        .where(F.col("l_returnflag") != "R")
+        lines.where(F.col("_late") & (F.col("l_returnflag") != "R"))
+        .drop("_late")
         .withColumns(
             {
                 "l_quantity": F.col("l_quantity") + 1,
                 "l_shipdate": F.when(F.col("l_linestatus") == "O", later).otherwise(F.col("l_shipdate")),
             }
         )
-        .select(*lines.columns)
     )
 
 
 @query(SETUP + f"SELECT {LINE_COLUMNS} FROM stg")
 def promote_truncate_insert(spark, sf_dir):
     """K4: production becomes staging."""
-    return promote.promote(prod_lines(spark, sf_dir), staged_lines(spark, sf_dir), "truncate_insert")
+    lines = marked_lines(spark, sf_dir)
+    return promote.promote(prod_lines(lines), staged_lines(lines), "truncate_insert")
 
 
 @query(
@@ -78,8 +90,8 @@ FROM stg s LEFT JOIN prod p ON s.l_orderkey = p.l_orderkey AND s.l_linenumber =
 )
 def promote_pk_merge(spark, sf_dir):
     """K5: upsert; a column staging lacks keeps its value on matched rows."""
-    prod = prod_lines(spark, sf_dir).withColumn("loaded_by", F.lit("history"))
-    return promote.promote(prod, staged_lines(spark, sf_dir), "pk_merge", keys=LINE_KEY)
+    prod, staged = line_sides(spark, sf_dir)
+    return promote.promote(prod.withColumn("loaded_by", F.lit("history")), staged, "pk_merge", keys=LINE_KEY)
 
 
 @query(
@@ -92,7 +104,7 @@ UNION ALL SELECT {LINE_COLUMNS} FROM stg
 )
 def promote_pk_delete_insert(spark, sf_dir):
     """Matched rows are replaced."""
-    return promote.promote(prod_lines(spark, sf_dir), staged_lines(spark, sf_dir), "pk_delete_insert", keys=LINE_KEY)
+    return promote.promote(*line_sides(spark, sf_dir), "pk_delete_insert", keys=LINE_KEY)
 
 
 @query(
@@ -105,8 +117,7 @@ UNION ALL SELECT {LINE_COLUMNS} FROM stg
 def promote_on_header(spark, sf_dir):
     """K7: whole orders are replaced, so lines gone from the source go from production."""
     return promote.promote(
-        prod_lines(spark, sf_dir), staged_lines(spark, sf_dir), "pk_delete_insert_on_header",
-        keys=LINE_KEY, header_key=["l_orderkey"],
+        *line_sides(spark, sf_dir), "pk_delete_insert_on_header", keys=LINE_KEY, header_key=["l_orderkey"],
     )
 
 
@@ -122,16 +133,16 @@ UNION ALL SELECT {LINE_COLUMNS} FROM stg
 def promote_versioned(spark, sf_dir):
     """K8: a row with a new stamp is added beside its older versions."""
     return promote.promote(
-        prod_lines(spark, sf_dir), staged_lines(spark, sf_dir), "versioned_delete_insert",
-        keys=LINE_KEY, stamps=["l_shipdate"],
+        *line_sides(spark, sf_dir), "versioned_delete_insert", keys=LINE_KEY, stamps=["l_shipdate"],
     )
 
 
 @query(SETUP + f"SELECT {LINE_COLUMNS} FROM stg WHERE l_linestatus = 'O' AND l_discount < 0.05")
 def promote_filter_active(spark, sf_dir):
     """K9: only rows that pass every predicate."""
+    lines = marked_lines(spark, sf_dir)
     return promote.promote(
-        prod_lines(spark, sf_dir), staged_lines(spark, sf_dir), "filter_active",
+        prod_lines(lines), staged_lines(lines), "filter_active",
         where=["`l_linestatus` = 'O'", "`l_discount` < 0.05D"],
     )
 
@@ -283,8 +294,9 @@ def stage_and_promote(spark, sf_dir):
     """Staging written and counted, keys checked, production replaced, read back."""
     home = scratch(spark, "stage_and_promote")
     staging, prod = Table(spark, f"{home}/staging"), Table(spark, f"{home}/prod")
-    prod.overwrite(prod_lines(spark, sf_dir))
-    staged = staging.stage(staged_lines(spark, sf_dir))
+    history, changes = line_sides(spark, sf_dir)
+    prod.overwrite(history)
+    staged = staging.stage(changes)
     check_keys(staging.staged_frame(staged), LINE_KEY)
     staging.commit(staged)
     prod.overwrite(
@@ -313,9 +325,10 @@ def promote_by_partition(spark, sf_dir):
     table = PartitionedTable(spark, scratch(spark, "promote_by_partition"), ["l_returnflag"])
     # Flags that are missing, empty and like numbers: partitions that folder names would mix up.
     odd = F.when(F.col("l_returnflag") == "A", "").when(F.col("l_returnflag") == "N", F.lit(None)).when(F.col("l_linenumber") % 2 == 0, "01").otherwise("1")
-    table.overwrite(prod_lines(spark, sf_dir).withColumn("l_returnflag", odd).select(*columns))
+    history, changes = (side.withColumn("l_returnflag", odd).select(*columns) for side in line_sides(spark, sf_dir))
+    table.overwrite(history)
     staging = Table(spark, scratch(spark, "promote_by_partition"))
-    staging.overwrite(staged_lines(spark, sf_dir).withColumn("l_returnflag", odd).select(*columns))
+    staging.overwrite(changes)
     staged = staging.read()
     promote.check_partitioning("pk_delete_insert", ["l_returnflag"], keys, [])
     promote.rewrite_partitions(table, staged, lambda prod: promote.promote(prod, staged, "pk_delete_insert", keys=keys))
@@ -328,8 +341,9 @@ BUCKETS = 16
 def bucketed_sides(spark, sf_dir, name: str, key):
     """Production and staging, both kept in buckets of a key."""
     prod, staging = (BucketedTable(spark, f"{scratch(spark, name)}/{side}", key, BUCKETS) for side in ("prod", "staging"))
-    prod.overwrite(prod_lines(spark, sf_dir))
-    staging.overwrite(staged_lines(spark, sf_dir))
+    history, changes = line_sides(spark, sf_dir)
+    prod.overwrite(history)
+    staging.overwrite(changes)
     return prod, staging
 
 
