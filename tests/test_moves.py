@@ -4,10 +4,13 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+
 from tests.helpers import plan, rows
 from tidemark.queries import promotion, runs
 from tidemark.queries.ingest import first_lines
-from tidemark.sources.tables import Table
+from tidemark.sources.tables import PART, PartitionedTable, Table
 
 LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
 NEW, OLD = dt.datetime(1999, 5, 1), dt.datetime(1997, 5, 1)
@@ -52,3 +55,18 @@ def test_both_sides_of_a_promotion_come_of_lines_found_once(spark, sf_dir):
     assert not any(node in plan(side) for side in (prod, staged) for node in ("Window", "Join"))
     assert rows(prod, "l_orderkey", "l_linenumber", "l_quantity") == sorted([(1, 1, 1.0), (2, 1, 1.0), (2, 2, 1.0), (3, 1, 1.0), (None, 1, 1.0)], key=repr)
     assert rows(staged, "l_orderkey", "l_linenumber", "l_shipdate") == [(2, 1, NEW + dt.timedelta(1)), (2, 2, NEW + dt.timedelta(1))]
+
+
+@pytest.mark.parametrize("parts", [3, 40])
+def test_partitions_are_written_without_sorting_a_task(spark, tmp_path, monkeypatch, parts):
+    """Also where a task has more partitions than it keeps files open."""
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *args, **more: seen.append(int(spark.conf.get(name))) or write(*args, **more))
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["g"])
+    staged = table.stage(spark.range(500).select((F.col("id") % parts).alias("g"), "id"))
+    assert seen[0] > 0 and spark.conf.get(name) == before
+    table.commit(staged)
+    assert rows(table.read(), "id") == sorted(((n,) for n in range(500)), key=repr) and len(table.part_rows()) == parts
+    stored = spark.read.parquet(str(tmp_path / "t" / staged.folder))
+    assert stored.groupBy(PART).agg(F.count_distinct("g").alias("n")).where("n <> 1").isEmpty()

@@ -12,6 +12,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,9 @@ from tidemark.functions.columns import col, quoted
 from tidemark.functions.typing import as_columns
 from tidemark.session import shared_dir
 
+# Files of different partitions that a task writes at a time. The engine sorts a task's rows by partition only where
+# they fall in more; rows are gathered by partition before, so a task mostly has one.
+OPEN_FILES = "16"
 # Codec of the states and copies that this library writes: smaller files than the engine's own choice.
 CODEC = "zstd"
 
@@ -120,6 +124,17 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    """A session setting for one write."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_counted(frame: DataFrame, path: str) -> int:
     """Overwrite ``path`` and return the number of rows the write tasks saw."""
     seen = Observation()
@@ -325,7 +340,8 @@ class PartitionedTable:
         target = f"{self.path}/v{version:08d}"
         seen = Observation()
         named = self.parts_of(frame).observe(seen, F.count(F.lit(1)).alias("rows"))
-        named.hint("rebalance", PART).write.mode("overwrite").option("compression", CODEC).partitionBy(PART).parquet(target)
+        with _setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES):
+            named.hint("rebalance", PART).write.mode("overwrite").option("compression", CODEC).partitionBy(PART).parquet(target)
         prepared, landed = int(seen.get["rows"]), {}
         if prepared:
             # Names are hex digests, which inference could take for numbers.
