@@ -1,5 +1,6 @@
 """Word-by-word encoding against encoding whole texts."""
 
+import os
 import zlib
 
 import numpy as np
@@ -68,3 +69,9 @@ def test_selective_reads(spark, awkward, tmp_path):
 def test_empty_table(spark, nothing, tmp_path):
     write_token_files(nothing, f"file://{tmp_path}/none", BYTE)
     assert read_token_files(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_a_task_encodes_on_its_own_core(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    Encoder(public_tokenizers.path("byte_bpe_50k.json"), "byte", 2)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"

@@ -13,6 +13,7 @@ the result with encoding whole texts.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 from itertools import chain
@@ -66,6 +67,8 @@ class Encoder:
     """Ids of whole texts, each followed by ``end``."""
 
     def __init__(self, path: str, kind: str, end: int, remembered: int = REMEMBERED) -> None:
+        # A task has one core; the library's own threads would take others and spin between calls.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
