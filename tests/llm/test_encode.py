@@ -75,3 +75,38 @@ def test_a_task_encodes_on_its_own_core(monkeypatch):
     monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
     Encoder(public_tokenizers.path("byte_bpe_50k.json"), "byte", 2)
     assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+# Latin pieces whose runs need care: case, marks, digits, line ends, quotes, special tokens, neighbours of the letters.
+LATIN = [
+    "Stnd stnd. stnd*** STND 2024 a1b2c3 x.y,z", "Éch éch ÀÖØÞßÿ áí­ ª×÷µ", "one.\nDe two\n\nthree\nfour 5\n6", "don't DON'T l'été 'tis",
+    "a<b <|endoftext|>! a<|startoftext|>", "é é́ ﬁn ŉ ǅ", "_x_ __ -- --a a-- `~^", "a", ".", "a\n", "\na", "a\x1fb \x1f", "~ \x7f ~\x80~ \xa0 é\x85é", "١٢ 1١a",
+]
+
+
+@pytest.mark.parametrize("kind", ["byte", "word"])
+@hypothesis_settings(max_examples=300, deadline=None)
+@given(text=st.text(st.sampled_from("abZ09.,!'<\n  éÉÀßÿíà×÷_~\x1fĠ́"), max_size=30))
+def test_any_latin_text(kind, text):
+    ids, _ = ENCODERS[kind][0].encode([text])
+    assert ids.tolist() == whole(kind, text)
+
+
+@pytest.mark.parametrize("kind", ["byte", "word"])
+@pytest.mark.parametrize("remembered", [0, 8, 400_000])
+def test_latin_pieces_and_forgetting(kind, remembered):
+    """Each text alone, all at once, and again when parts have been forgotten."""
+    made = Encoder(BYTE if kind == "byte" else WORD, kind, 2 if kind == "byte" else 1, remembered)
+    for texts in (*([one] for one in LATIN), [None, *LATIN, "", *LATIN], LATIN):
+        ids, offsets = made.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [whole(kind, text) for text in texts]
+
+
+@pytest.mark.parametrize("kind", ["byte", "word"])
+def test_a_part_is_encoded_once_for_all_pieces_that_hold_it(kind):
+    """Pieces that differ only in the signs around a word do not have the word encoded anew."""
+    made = Encoder(BYTE if kind == "byte" else WORD, kind, 2 if kind == "byte" else 1)
+    made.encode(["x thndshin a. a, a! a***"])
+    before = len(made.known)
+    made.encode(["x thndshin. thndshin, thndshin! thndshin***"])
+    assert len(made.known) == before
