@@ -25,7 +25,7 @@ from tidemark.llm.encode import batches_of, encoder
 from tidemark.llm.ordered import global_starts, ranged
 
 END = 2
-# Pieces of text a worker remembers: rare ones are encoded less often than with the usual number.
+# Parts of texts a worker remembers: rare ones are encoded less often than with the usual number.
 REMEMBERED = 800_000
 SCHEMA = fields(doc_id="long", n_tokens="long", tokens=T.ArrayType(T.IntegerType()), part="int", start="long")
 
